@@ -9,7 +9,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from codecorpus.functions.text import strip
 
@@ -21,7 +21,7 @@ def _percent(pair) -> float:
     return difflib.SequenceMatcher(None, left, right).ratio() * 100
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     pairs = pd.Series(list(zip(left, right)), dtype=object)
     scores = {pair: _percent(pair) for pair in set(pairs)}

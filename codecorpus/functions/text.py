@@ -32,10 +32,8 @@ def code_tokens(col: Column) -> Column:
 
 def split_lines(col: Column) -> Column:
     """Lines as ``str.splitlines`` gives them: no item after a final break."""
-    parts = F.split(col, LINE_BREAK, -1)
-    return F.when(
-        F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)
-    ).otherwise(parts)
+    body = F.regexp_replace(col, rf"(?:{LINE_BREAK})\z", "")
+    return F.when(col != "", F.split(body, LINE_BREAK, -1)).when(col == "", F.array().cast("array<string>"))
 
 
 def nonblank_lines(col: Column) -> Column:

@@ -34,17 +34,16 @@ def first_line_containing(names: DataFrame, lines: DataFrame, name: str = "repo_
     """
     distinct = names.select(F.col(name).alias("_name")).filter("_name IS NOT NULL").distinct()
     lengths = distinct.agg(F.collect_set(F.length("_name")).alias("l")).scalar()
-    usable = F.filter(lengths, lambda n: n <= F.length(line))
-    pieces = F.flatten(
-        F.transform(
-            usable,
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.length(line) - n + 1), lambda at: F.col(line).substr(at, n)
-            ),
-        )
-    )
+
+    def of_length(n):
+        starts = F.sequence(F.lit(1), F.length(line) - n + 1)
+        return F.transform(starts, lambda at: F.col(line).substr(at, n))
+
+    fitting = F.filter("_lengths", lambda n: n <= F.length(line))
+    pieces = F.array_distinct(F.flatten(F.transform(fitting, of_length)))
     firsts = (
-        lines.select("line_no", F.explode(F.array_distinct(pieces)).alias("_name"))
+        lines.withColumn("_lengths", lengths)
+        .select("line_no", F.explode(pieces).alias("_name"))
         .groupBy("_name")
         .agg(F.min("line_no").alias("line_no"))
     )

@@ -53,11 +53,10 @@ def error_examples(checked: DataFrame, key: str, k: int = 5) -> DataFrame:
     """
     bad = checked.filter(F.size("errors") > 0).orderBy(key).limit(k).select(key, "errors")
     keys = bad.agg(F.sort_array(F.collect_list(key)).alias("keys")).scalar()
-    place = F.size(F.filter(keys, lambda b: b < F.col(key)))
-    counts = checked.groupBy(place.alias("place")).agg(F.count("*").alias("n"))
-    steps = counts.agg(F.collect_list(F.struct("place", "n"))).scalar()
-    own = F.array_position(keys, F.col(key)) - 1
-    upto = F.aggregate(
-        F.filter(steps, lambda s: s["place"] <= own), F.lit(0).cast("bigint"), lambda total, s: total + s["n"]
-    )
-    return bad.select(upto.alias("row_number"), key, "errors")
+    place = F.size(F.filter("_keys", lambda b: b < F.col(key)))
+    counts = checked.select(key).withColumn("_keys", keys).groupBy(place.alias("place")).agg(F.count("*").alias("n"))
+    steps = counts.agg(F.collect_list(F.struct("place", "n")).alias("steps")).scalar()
+    own = F.array_position("_keys", F.col(key)) - 1
+    before = F.filter("_steps", lambda s: s["place"] <= own)
+    number = F.aggregate(before, F.lit(0).cast("bigint"), lambda total, s: total + s["n"])
+    return bad.withColumns({"_keys": keys, "_steps": steps}).select(number.alias("row_number"), key, "errors")
