@@ -6,6 +6,8 @@ cluster, after a lost task, and in any other SQL engine.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 
@@ -25,6 +27,12 @@ def choose(seed: int, key: Column, size: Column) -> Column:
     return F.when(size > 0, F.pmod(draw(digest(seed, key)), size)).cast("int")
 
 
-def fraction(hexdigest: Column, word: int = 0) -> Column:
-    """A number in [0, 1)."""
-    return draw(hexdigest, word) / F.lit(float(2**32))
+def below(hexdigest: Column, share: float, word: int = 0) -> Column:
+    """Whether a draw, as a share of its range, is less than ``share``.
+
+    Hex text of fixed length sorts as its number does, so none is parsed.
+    """
+    limit = math.ceil(share * 2**32)
+    if limit >= 2**32:
+        return F.lit(True)
+    return F.substring(hexdigest, 1 + 8 * word, 8) < F.lit(f"{limit:08x}")

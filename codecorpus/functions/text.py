@@ -10,11 +10,12 @@ from pyspark.sql import Column, functions as F
 
 # Character classes in Java regex syntax, special tokens, limits.
 BREAK_CHARS = r"\n\r\x0B\x0C\x1C\x1D\x1E\x85\x{2028}\x{2029}"
+RARE_BREAKS = r"\r\x0B\x0C\x1C\x1D\x1E\x85\x{2028}\x{2029}"
 LINE_BREAK = rf"\r\n|[{BREAK_CHARS}]"
 BLANK_CHARS = r"\s\x0B\x1C-\x1F\x85\p{Z}"
 BLANK = rf"[{BLANK_CHARS}]"
 NOT_BLANK = rf"[^{BLANK_CHARS}]"
-IF_STATEMENT = rf"^{BLANK}*(if.*?:)"
+STATEMENT = r"if.*?:"
 IF_MASK = "<if_mask>"
 MASK = "<mask>"
 REPO_URL_PREFIX = "https://github.com/"
@@ -25,6 +26,18 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, rf"^{BLANK}+|{BLANK}+\z", "")
 
 
+def lstrip(col: Column) -> Column:
+    return F.regexp_replace(col, rf"^{BLANK}+", "")
+
+
+def at_line_start(statement: str) -> str:
+    """A regex for a statement (group 1) that only blanks precede in its line.
+
+    For text whose only line breaks are line feeds.
+    """
+    return rf"(?dm)^[{BLANK_CHARS}&&[^\n]]*+({statement})"
+
+
 def code_tokens(col: Column) -> Column:
     """Every whitespace run becomes one space; the ends are trimmed."""
     return F.trim(F.regexp_replace(col, rf"{BLANK}+", " "))
@@ -36,6 +49,15 @@ def split_lines(col: Column) -> Column:
     return F.when(col != "", F.split(body, LINE_BREAK, -1)).when(col == "", F.array().cast("array<string>"))
 
 
+def unify_breaks(col: Column) -> Column:
+    """Every line break as a line feed, none at the end: lines joined again.
+
+    Text that has line feeds only, as most has, is not rewritten.
+    """
+    unified = F.when(col.rlike(rf"[{RARE_BREAKS}]"), F.regexp_replace(col, LINE_BREAK, "\n")).otherwise(col)
+    return F.regexp_replace(unified, r"\n\z", "")
+
+
 def nonblank_lines(col: Column) -> Column:
     """Number of lines that hold more than whitespace.
 

@@ -12,11 +12,13 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from codecorpus.functions.text import IF_MASK
-from codecorpus.session import Staging
+from codecorpus.session import Staging, spread
 
 # Special tokens in id order, the word pattern, sizes.
 SPECIAL_TOKENS = ["<s>", "<pad>", "</s>", "<unk>", "<mask>", IF_MASK]
@@ -140,13 +142,19 @@ def merge_symbols(symbols: list[int], ranks: dict) -> list[int]:
 
 def _byte_words(words: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
     """Words of two or more bytes as symbol lists."""
+    ids = np.zeros(256, dtype=np.int32)
+    for byte, i in byte_ids.items():
+        ids[byte] = i
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            symbols = [[byte_ids[b] for b in w.encode()] for w in frame["word"]]
-            yield pd.DataFrame({"symbols": symbols, "n": frame["n"]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = batch.column(0).cast(pa.binary())
+            ends = np.cumsum([0] + [len(w.as_py()) for w in raw], dtype=np.int32)
+            data = np.frombuffer(b"".join(raw.to_pylist()), dtype=np.uint8)
+            symbols = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[data]))
+            yield pa.RecordBatch.from_arrays([symbols, batch.column(1)], ["symbols", "n"])
 
-    return words.filter(F.octet_length("word") > 1).select("word", "n").mapInPandas(run, "symbols array<int>, n bigint")
+    return words.filter(F.octet_length("word") > 1).select("word", "n").mapInArrow(run, "symbols array<int>, n bigint")
 
 
 def _segments(words: DataFrame, pairs: set) -> DataFrame:
@@ -182,44 +190,59 @@ def _merge_words(words: DataFrame, ranks: dict) -> DataFrame:
 
 
 class _Round:
-    """The merges that a round's segments decide exactly."""
+    """The merges that a round's segments decide exactly.
+
+    All segments lie in one array, -1 between them, with a weight per place. A
+    pair is known by the place of its left symbol and by one number.
+    """
 
     def __init__(self, segments: list[tuple[list[int], int]]):
-        self.segments = [s for s, _ in segments]
-        self.weights = [n for _, n in segments]
-        self.counts: dict = defaultdict(int)
-        self.places: dict = defaultdict(set)
-        for at in range(len(self.segments)):
-            self._add(at, 1)
-        self.heap = [(-n, p) for p, n in self.counts.items()]
-        heapq.heapify(self.heap)
-
-    def _add(self, at: int, sign: int, touched: set | None = None) -> None:
-        segment = self.segments[at]
-        for pair in zip(segment, segment[1:]):
-            self.counts[pair] += sign * self.weights[at]
-            if sign > 0:
-                self.places[pair].add(at)
-            if touched is not None:
-                touched.add(pair)
+        self.symbols = np.array([-1] + [x for s, _ in segments for x in (*s, -1)], dtype=np.int64)
+        self.weights = np.array([0] + [n for s, n in segments for _ in range(len(s) + 1)], dtype=np.int64)
+        self.counts: dict[int, int] = defaultdict(int)
+        self.heap: list[tuple[int, int]] = []
+        self._count(np.arange(len(self.symbols) - 1), 1)
+        self._push(self.counts)
+
+    def _count(self, places: np.ndarray, sign: int) -> set[int]:
+        """Add or take the pairs at these places; gives the pairs."""
+        places = places[(self.symbols[places] >= 0) & (self.symbols[places + 1] >= 0)]
+        pairs, index = np.unique((self.symbols[places] << 32) | self.symbols[places + 1], return_inverse=True)
+        sums = np.zeros(len(pairs), dtype=np.int64)
+        np.add.at(sums, index, self.weights[places])
+        for pair, n in zip(pairs.tolist(), sums.tolist()):
+            self.counts[pair] += sign * n
+        return set(pairs.tolist())
+
+    def _push(self, pairs) -> None:
+        for pair in pairs:
+            if self.counts[pair] > 0:
+                heapq.heappush(self.heap, (-self.counts[pair], pair))
 
     def best(self):
+        """The count and the pair that come first, or None."""
         while self.heap:
             n, pair = self.heap[0]
-            if -n == self.counts[pair] and n:
-                return -n, pair
+            if n and -n == self.counts[pair]:
+                return -n, (pair >> 32, pair & 0xFFFFFFFF)
             heapq.heappop(self.heap)
         return None
 
     def merge(self, pair: tuple[int, int], new: int) -> None:
-        touched: set = set()
-        for at in self.places.pop(pair, ()):
-            self._add(at, -1, touched)
-            self.segments[at] = merge_symbols(self.segments[at], {pair: (0, new)})
-            self._add(at, 1, touched)
-        for p in touched:
-            if self.counts[p] > 0:
-                heapq.heappush(self.heap, (-self.counts[p], p))
+        hits = np.flatnonzero((self.symbols[:-1] == pair[0]) & (self.symbols[1:] == pair[1]))
+        if pair[0] == pair[1]:
+            # In a run of equal symbols every second place is taken, from the left.
+            first = np.flatnonzero(np.diff(hits, prepend=-2) != 1)
+            run_start = np.repeat(hits[first], np.diff(np.append(first, len(hits))))
+            hits = hits[(hits - run_start) % 2 == 0]
+        changed = self._count(np.unique(np.concatenate([hits - 1, hits, hits + 1])), -1)
+        self.symbols[hits] = new
+        keep = np.ones(len(self.symbols), dtype=bool)
+        keep[hits + 1] = False
+        self.symbols, self.weights = self.symbols[keep], self.weights[keep]
+        hits = hits - np.arange(len(hits))
+        changed |= self._count(np.unique(np.concatenate([hits - 1, hits])), 1)
+        self._push(changed)
 
 
 def learn_merges(
@@ -245,7 +268,7 @@ def learn_merges(
     """
     spark = df.sparkSession
     staging = Staging(spark)
-    counted = staging.put(word_frequencies(df, col, by_line), "words")
+    counted = spread(staging.put(word_frequencies(df, col, by_line), "words"))
     alphabet = counted.select(
         F.explode(F.array_distinct(F.regexp_extract_all(F.hex(F.encode("word", "UTF-8")), F.lit(".."), F.lit(0)))).alias("b")
     ).distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from codecorpus.functions.text import nonblank_lines, strip
+from codecorpus.functions.text import NOT_BLANK, nonblank_lines
 from codecorpus.operators import caps
 from codecorpus.session import Staging
 
@@ -13,24 +13,22 @@ MAX_LINES = 100
 MAX_FUNCTIONS = 250_000
 
 
-def reject_reason(
-    code: Column, start: Column, end: Column, min_lines: int = MIN_LINES, max_lines: int = MAX_LINES
-) -> Column:
-    """Why a function is dropped, or null. The first rule that fires counts.
+def with_reject_reason(
+    df: DataFrame, code: str = "original_code", min_lines: int = MIN_LINES, max_lines: int = MAX_LINES
+) -> DataFrame:
+    """Adds ``reject_reason``: why a function is dropped, or null.
 
-    Empty text has no line at all, so it is already ``short``.
+    The first rule that fires counts. Empty text has no line at all, so it is
+    already ``short``.
     """
-    lines = nonblank_lines(code)
-    return (
+    start, end, lines = F.col("start_line"), F.col("end_line"), F.col("_lines")
+    reason = (
         F.when(start.isNull() | end.isNull() | (start > end), "invalid")
         .when(lines < min_lines, "short")
         .when(lines > max_lines, "long")
-        .when(strip(code) == "", "empty")
+        .when(~F.col(code).rlike(NOT_BLANK), "empty")
     )
-
-
-def with_reject_reason(df: DataFrame, code: str = "original_code", **limits) -> DataFrame:
-    return df.withColumn("reject_reason", reject_reason(F.col(code), F.col("start_line"), F.col("end_line"), **limits))
+    return df.withColumn("_lines", nonblank_lines(F.col(code))).withColumn("reject_reason", reason).drop("_lines")
 
 
 def clean_functions(df: DataFrame, code: str = "original_code", **limits) -> DataFrame:

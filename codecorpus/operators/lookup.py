@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from codecorpus.session import Staging
+
 BROADCAST_ROWS = 200_000
-HOT_SAMPLE_ROWS = 20_000
 HOT_SHARE = 0.01
-MAX_HOT_KEYS = 1_000
 SPREAD = 100_000
 
 
@@ -16,17 +16,15 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def hot_keys(df: DataFrame, on: list[str], sample_rows: int = HOT_SAMPLE_ROWS, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that a sample shows to hold at least ``share`` of the rows.
+def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
+    """All keys that hold ``share`` of the rows or more, and perhaps some others.
 
-    No more than ``1 / share`` keys can pass. Which keys pass changes the plan
-    of a join below, never its result.
+    One pass with a fixed number of counters per task; the list cannot grow with
+    the data. Which keys are in it changes the plan of a join, never its result.
     """
-    total = df.count()
-    sample = df.select(*on).sample(min(1.0, sample_rows / max(total, 1)), seed=1)
-    counted = sample.groupBy(*on).agg(F.count("*").alias("_n"))
-    floor = max(2, int(share * min(sample_rows, max(total, 1)) * 0.8))
-    return counted.filter(F.col("_n") >= floor).orderBy(F.desc("_n"), *on).limit(MAX_HOT_KEYS).drop("_n")
+    keyed = df.select(F.struct(*on).alias("k"))
+    found = keyed.freqItems(["k"], share).select(F.explode("k_freqItems").alias("k")).select("k.*")
+    return df.sparkSession.createDataFrame(found.collect(), df.select(*on).schema)
 
 
 def lookup_join(
@@ -39,10 +37,12 @@ def lookup_join(
     its hot keys, few by construction, are broadcast, and rows that are served
     that way (or hold a null key) travel under a spread number instead.
     """
+    # Stored once: its size is checked first, then it is joined.
+    table = Staging(df.sparkSession).put(table, "lookup")
     if at_most(table, broadcast_rows):
         return df.join(F.broadcast(table), on, how)
     values = [c for c in table.columns if c not in on]
-    hot = df.sparkSession.createDataFrame(hot_keys(df, on).collect(), df.select(*on).schema)
+    hot = hot_keys(df, on)
     found = table.join(F.broadcast(hot), on, "left_semi").select(*on, F.struct(*values).alias("_near"))
     served = hot.join(found, on, "left").withColumn("_hot", F.lit(True))
     marked = df.join(F.broadcast(served), on, "left")

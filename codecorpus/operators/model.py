@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from codecorpus.functions.text import IF_MASK, code_tokens, split_lines
+from codecorpus.functions.text import IF_MASK, code_tokens, unify_breaks
 from codecorpus.operators.lookup import lookup_join
 
 # Fixed value: a name or number, or one other visible character.
@@ -18,15 +18,22 @@ BEAMS = 10
 
 
 def context(df: DataFrame, text: str = "input_text", mask: str = IF_MASK) -> DataFrame:
-    """Adds ``prev_line, next_line`` around the hidden statement, '' at the ends."""
-    df = df.withColumn("_lines", split_lines(F.col(text)))
-    at = F.transform("_lines", lambda line, i: F.when(line.contains(mask), i))
-    df = df.withColumn("_at", F.array_min(at))
+    """Adds ``prev_line, next_line`` around the hidden statement, '' at the ends.
 
-    def line(offset: int) -> Column:
-        return F.coalesce(code_tokens(F.get("_lines", F.col("_at") + offset)), F.lit(""))
-
-    return df.withColumns({"prev_line": line(-1), "next_line": line(1)}).drop("_lines", "_at")
+    Whitespace runs count as one space. Only the lines next to the mask are cut
+    out; the rest of the text is not split.
+    """
+    df = df.withColumn("_text", unify_breaks(F.col(text)))
+    before = F.substring_index("_text", mask, 1)
+    df = df.withColumn("_before", F.when(F.contains("_text", F.lit(mask)), before))
+    df = df.withColumn("_after", F.col("_text").substr(F.length("_before") + len(mask) + 1, F.length("_text")))
+    prev_line = F.substring_index(F.substring_index("_before", "\n", -2), "\n", 1)
+    next_line = F.substring_index(F.substring_index("_after", "\n", 2), "\n", -1)
+    lines = {
+        "prev_line": F.when(F.contains("_before", F.lit("\n")), code_tokens(prev_line)).otherwise(""),
+        "next_line": F.when(F.contains("_after", F.lit("\n")), code_tokens(next_line)).otherwise(""),
+    }
+    return df.withColumns(lines).drop("_text", "_before", "_after")
 
 
 def fit_statement_model(train: DataFrame, text: str = "input_text", target: str = "target_text") -> DataFrame:
@@ -36,15 +43,15 @@ def fit_statement_model(train: DataFrame, text: str = "input_text", target: str
     and one aggregation give all three.
     """
     keys = ["prev_line", "next_line", "target"]
-    rows = context(train.filter(F.col(target).isNotNull()), text).select(
-        "prev_line", "next_line", F.col(target).alias("target")
-    )
+    rows = context(train, text).select("prev_line", "next_line", F.col(target).alias("target"))
     sets = [keys, ["prev_line", "target"], ["target"]]
     counted = rows.groupingSets([[F.col(c) for c in s] for s in sets], *keys).agg(
         F.grouping("prev_line").cast("int").alias("_no_prev"),
         F.grouping("next_line").cast("int").alias("_no_next"),
-        F.count("*").alias("n"),
+        F.count("target").alias("n"),
     )
+    # Rows without a target count 0; only this filter stays above the aggregation.
+    counted = counted.filter("n > 0")
     return counted.select((F.col("_no_prev") + F.col("_no_next")).alias("level"), *keys, "n")
 
 

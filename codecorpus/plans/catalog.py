@@ -39,14 +39,14 @@ from codecorpus.operators import (
     validate,
 )
 from codecorpus.plans import collect, datasets, evaluate
-from codecorpus.session import Staging
+from codecorpus.session import Staging, spread
 from codecorpus.sources import readers, writers
 
 SEED = 42
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def key_text() -> Column:
@@ -148,8 +148,7 @@ def q_head_cap(spark, sf_dir):
 
 def q_first_matching(spark, sf_dir):
     rows = mixed_code(spark, sf_dir)
-    found = F.size(masking.find_statements(F.col("code"))) > 0
-    return caps.first_matching(rows, found, 1000, ["o_orderkey"]).select("o_orderkey", "code")
+    return caps.first_matching(rows, masking.has_statement(F.col("code")), 1000, ["o_orderkey"]).select("o_orderkey", "code")
 
 
 # --- repositories and paths -------------------------------------------------------
@@ -378,7 +377,7 @@ def q_finetune_table(spark, sf_dir):
 
 def _train_test(spark, sf_dir):
     masked = splits.split_dataset(_masked_code(spark, sf_dir), "o_orderkey", SEED, exact=False)
-    rows = masked.select("o_orderkey", "input_text", "target_text", "split")
+    rows = Staging(spark).put(masked.select("o_orderkey", "input_text", "target_text", "split"), "pairs")
     return rows.filter("split = 'train'"), rows.filter("split = 'test'")
 
 

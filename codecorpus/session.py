@@ -57,3 +57,12 @@ class Staging:
         path = f"{self.base}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A fresh scan that has fewer splits than there are cores, over all cores.
+
+    A large table has more splits than cores and is left as it is: no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
