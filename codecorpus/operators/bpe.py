@@ -344,14 +344,16 @@ def encode_column(col: Column, vocab: Vocabulary) -> Column:
     and task. No word leaves its row, so there is no shuffle and no hot word.
     """
     special = [t for t in vocab.special if t in vocab.ids]
-    literal = "|".join("\\Q" + t + "\\E" for t in special)
-    pattern = f"{literal}|(?:(?!{literal})[\\s\\S])+" if special else r"[\s\S]+"
-    pieces = F.regexp_extract_all(col, F.lit(pattern), F.lit(0))
-    words = F.flatten(
-        F.transform(pieces, lambda p: F.when(p.isin(special), F.array(p)).otherwise(pretokenize(p)))
-        if special
-        else F.transform(pieces, pretokenize)
-    )
+    words = pretokenize(col)
+    if special:
+        literal = "|".join("\\Q" + t + "\\E" for t in special)
+        # A text with n special tokens has n + 1 gaps; the last gap has none after it.
+        both = F.zip_with(
+            F.split(col, literal, -1),
+            F.regexp_extract_all(col, F.lit(literal), F.lit(0)),
+            lambda gap, token: F.concat(pretokenize(gap), F.when(token.isNull(), F.array()).otherwise(F.array(token))),
+        )
+        words = F.when(col.rlike(literal), F.flatten(both)).otherwise(words)
     ranks, byte_ids = vocab.ranks, vocab.byte_ids
     fixed = {t: [vocab.ids[t]] for t in special}
 

@@ -38,18 +38,18 @@ def nth_key(df: DataFrame, keys: list[str], n: int, small: int = SMALL, sample:
     if n < 1 or n > left:
         return None
     seed = 0
-    while left > small:
+    while left > max(small, sample):
         seed += 1
         drawn = rows.sample(min(1.0, sample / left), seed=seed).limit(4 * sample).collect()
         drawn = sorted(tuple(r) for r in drawn)
-        if not drawn:
+        if len(drawn) < 2:
             continue
         middle = n / left * len(drawn)
         margin = 4 * math.sqrt(len(drawn)) + 1
         low = drawn[int(middle - margin)] if middle - margin >= 0 else None
         high = drawn[int(middle + margin)] if middle + margin < len(drawn) else None
-        if low is None and high is None:
-            high = drawn[len(drawn) // 2]
+        if 2 * margin >= len(drawn):
+            low, high = None, drawn[len(drawn) // 2 - 1]
         below = at_or_before(keys, low) if low else F.lit(False)
         inside = (at_or_before(keys, high) if high else F.lit(True)) & ~below
         counts = rows.agg(F.count_if(below).alias("below"), F.count_if(inside).alias("inside")).first()
