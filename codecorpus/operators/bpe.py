@@ -157,6 +157,10 @@ def _byte_words(words: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
     return words.filter(F.octet_length("word") > 1).select("word", "n").mapInArrow(run, "symbols array<int>, n bigint")
 
 
+def _counted(name: str, lists: list[list[int]], n: list[int]) -> pd.DataFrame:
+    return pd.DataFrame({name: pd.Series(lists, dtype=object), "n": pd.Series(n, dtype="int64")})
+
+
 def _segments(words: DataFrame, pairs: set) -> DataFrame:
     """Counts of the stretches of words in which every neighbouring pair is listed."""
 
@@ -171,7 +175,7 @@ def _segments(words: DataFrame, pairs: set) -> DataFrame:
                         if i - start > 1:
                             counts[tuple(symbols[start:i])] += n
                         start = i
-            yield pd.DataFrame({"segment": [list(s) for s in counts], "n": list(counts.values())})
+            yield _counted("segment", [list(s) for s in counts], list(counts.values()))
 
     parts = words.mapInPandas(run, "segment array<int>, n bigint")
     return parts.groupBy("segment").agg(F.sum("n").alias("n"))
@@ -182,9 +186,9 @@ def _merge_words(words: DataFrame, ranks: dict) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            symbols = [merge_symbols(s.tolist(), ranks) for s in frame["symbols"]]
-            keep = [len(s) > 1 for s in symbols]
-            yield pd.DataFrame({"symbols": symbols, "n": frame["n"]})[keep]
+            merged = [(merge_symbols(s.tolist(), ranks), n) for s, n in zip(frame["symbols"], frame["n"])]
+            left = [(s, n) for s, n in merged if len(s) > 1]
+            yield _counted("symbols", [s for s, _ in left], [n for _, n in left])
 
     return words.mapInPandas(run, "symbols array<int>, n bigint")
 

@@ -118,7 +118,7 @@ def mask_tokens(
         token, hexes = d["id"], d["hex"]
         other = F.pmod(draw(hexes, 2), F.lit(vocab_size)).cast("int")
         shown = F.when(below(hexes, 0.8, 1), F.lit(mask_id)).when(below(hexes, 0.9, 1), other).otherwise(token)
-        chosen = F.coalesce(below(hexes, probability), F.lit(False))
+        chosen = hexes.isNotNull() & below(hexes, probability)
         return F.when(chosen, F.struct(shown.alias("id"), token.alias("label"))).otherwise(
             F.struct(token.alias("id"), F.lit(UNSCORED).alias("label"))
         )
