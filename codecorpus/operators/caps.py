@@ -8,12 +8,16 @@ reaches the scan and leaves the rows where they are.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from codecorpus.session import Staging
+
 SMALL = 100_000
 SAMPLE = 4_000
+GROWTH = 4
 
 
 def at_or_before(keys: list[str], values) -> Column:
@@ -71,9 +75,30 @@ def head(df: DataFrame, n: int, order: list[str], small: int = SMALL) -> DataFra
     return df if cut is None else df.filter(at_or_before(order, cut))
 
 
+def growing_cut(df: DataFrame, n: int, order: list[str], counted: Callable[[DataFrame], DataFrame], small: int = SMALL):
+    """The order key at which the n-th row of ``counted`` stands; None below n.
+
+    ``counted`` picks rows such that those of a prefix are a prefix of those of
+    the whole. It runs on a prefix of 4n rows, then on longer ones until n rows
+    are found, so a small cap on a large table never does the costly work on
+    all of it. Finding a prefix reads the order columns alone.
+    """
+    total = df.count()
+    staging = Staging(df.sparkSession)
+    size = GROWTH * n
+    while True:
+        prefix = df if size >= total else head(df, size, order, small)
+        keys = staging.put(counted(prefix).select(*order), f"counted-{size}")
+        found = keys.count()
+        if found >= n or size >= total:
+            return nth_key(keys, order, n, small, total=found)
+        size *= GROWTH
+
+
 def first_matching(df: DataFrame, condition: Column, n: int, order: list[str], small: int = SMALL) -> DataFrame:
     """The first ``n`` rows for which the condition holds."""
-    return head(df.filter(condition), n, order, small)
+    cut = growing_cut(df, n, order, lambda rows: rows.filter(condition), small)
+    return (df if cut is None else df.filter(at_or_before(order, cut))).filter(condition)
 
 
 def top(df: DataFrame, k: int, *order: Column) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from codecorpus.functions.text import NOT_BLANK, nonblank_lines
 from codecorpus.operators import caps
-from codecorpus.session import Staging
 
 MIN_LINES = 3
 MAX_LINES = 100
@@ -73,8 +72,11 @@ def append_rows(first: DataFrame, *more: DataFrame) -> DataFrame:
 
 def cap_cut(df: DataFrame, n: int = MAX_FUNCTIONS, col: str = "original_code", order: list[str] = ("path", "seq"), **limits):
     """The order key at which the n-th clean, unique row is read; None below n."""
-    kept = dedup_exact(clean_functions(df, col, **limits).select(*order, col), col, order).select(*order)
-    return caps.nth_key(Staging(df.sparkSession).put(kept, "kept_keys"), list(order), n)
+
+    def kept(rows: DataFrame) -> DataFrame:
+        return dedup_exact(clean_functions(rows, col, **limits).select(*order, col), col, order)
+
+    return caps.growing_cut(df.select(*order, col, "start_line", "end_line"), n, list(order), kept)
 
 
 def cap_after_clean(

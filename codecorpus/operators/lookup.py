@@ -28,7 +28,8 @@ def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFram
 
 
 def lookup_join(
-    df: DataFrame, table: DataFrame, on: list[str], how: str = "left", broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame, table: DataFrame, on: list[str], how: str = "left", broadcast_rows: int = BROADCAST_ROWS,
+    staged: bool = False,
 ) -> DataFrame:
     """Attach the columns of ``table`` (unique on ``on``) to every row of ``df``.
 
@@ -37,8 +38,9 @@ def lookup_join(
     its hot keys, few by construction, are broadcast, and rows that are served
     that way (or hold a null key) travel under a spread number instead.
     """
-    # Stored once: its size is checked first, then it is joined.
-    table = Staging(df.sparkSession).put(table, "lookup")
+    if not staged:
+        # Stored once: its size is checked first, then it is joined.
+        table = Staging(df.sparkSession).put(table, "lookup")
     if at_most(table, broadcast_rows):
         return df.join(F.broadcast(table), on, how)
     values = [c for c in table.columns if c not in on]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from codecorpus.functions.text import IF_MASK, code_tokens, unify_breaks
 from codecorpus.operators.lookup import lookup_join
+from codecorpus.session import Staging
 
 # Fixed value: a name or number, or one other visible character.
 TARGET_TOKEN = r"[A-Za-z0-9_]+|[^A-Za-z0-9_ ]"
@@ -72,8 +73,9 @@ def predict_statements(
     model: DataFrame, df: DataFrame, k: int = BEAMS, text: str = "input_text", broadcast_rows: int | None = None
 ) -> DataFrame:
     """Adds ``level`` and ``candidates`` (best first) from the longest known context."""
-    size = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
-    lists = leading_candidates(model, k)
+    size = {"staged": True} if broadcast_rows is None else {"staged": True, "broadcast_rows": broadcast_rows}
+    # One aggregation serves the three levels.
+    lists = Staging(df.sparkSession).put(leading_candidates(model, k), "candidates")
     both = lists.filter("level = 0").select("prev_line", "next_line", F.col("candidates").alias("_both"))
     before = lists.filter("level = 1").select("prev_line", F.col("candidates").alias("_before"))
     anywhere = lists.filter("level = 2").select("candidates").scalar()
@@ -126,11 +128,12 @@ def token_logp(
     Add-one smoothing: (c(prev, cur) + 1) / (c(prev) + V), V distinct tokens.
     """
     size = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
+    counts = Staging(df.sparkSession).put(counts, "bigrams")
     distinct = df.filter(F.col(target).isNotNull()).select(F.col(target).alias("target")).distinct()
     tokens = _bigrams(distinct, "target", "target")
     before = counts.groupBy("prev").agg(F.sum("n").alias("n_prev"))
     types = counts.agg(F.countDistinct("cur").alias("v")).scalar()
-    rows = lookup_join(lookup_join(tokens, counts, ["prev", "cur"], **size), before, ["prev"], **size)
+    rows = lookup_join(lookup_join(tokens, counts, ["prev", "cur"], staged=True, **size), before, ["prev"], **size)
     p = (F.coalesce("n", F.lit(0)) + 1) / (F.coalesce("n_prev", F.lit(0)) + types)
     return rows.select("target", "prev", "cur", F.log(p).alias("logp"))
 

@@ -29,7 +29,7 @@ def finetune_table(
     funcs: DataFrame, key: str, n: int = MAX_FINETUNE, seed: int = 42, code: str = "original_code", exact: bool = True
 ) -> DataFrame:
     """``key, input_text, target_text, split`` of the first n functions with a statement."""
-    masked = masking.mask_statement(funcs.select(key, code), key, code, seed)
-    rows = caps.head(masked, n, [key]).select(key, "input_text", "target_text")
-    staged = Staging(funcs.sparkSession).put(rows, "finetune")
+    first = caps.first_matching(funcs.select(key, code), masking.has_statement(F.col(code)), n, [key])
+    masked = masking.mask_statement(first, key, code, seed).select(key, "input_text", "target_text")
+    staged = Staging(funcs.sparkSession).put(masked, "finetune")
     return splits.split_dataset(staged, key, seed, exact)

@@ -33,6 +33,13 @@ def test_head_is_a_filter_that_reaches_the_scan(spark, sf):
     assert caps.head(df, 10**9, ["o_orderkey"]).count() == len(keys)
 
 
+@pytest.mark.parametrize("n,size", [(3, 3), (20, 20), (33, 33), (40, 34)])
+def test_first_matching_grows_its_prefix(spark, n, size):
+    df = spark.range(100).repartition(3).cache()
+    got = caps.first_matching(df, (F.col("id") > 30) & (F.col("id") % 2 == 0), n, ["id"], small=10)
+    assert values(got, "id") == [(i,) for i in range(32, 100, 2)][:size]
+
+
 def test_first_matching_counts_matches_only(spark):
     df = spark.range(100)
     got = caps.first_matching(df, F.col("id") % 3 == 0, 5, ["id"])
