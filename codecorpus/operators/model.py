@@ -109,10 +109,12 @@ def target_tokens(col: Column) -> Column:
 
 
 def _bigrams(df: DataFrame, target: str, *keep: str) -> DataFrame:
+    """``prev, cur`` per token. Rows without tokens explode to nothing, so no
+    filter is needed that would compute the target once more further down."""
     tokens = target_tokens(F.col(target))
-    before = F.concat(F.array(F.lit(START)), F.slice(tokens, F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(0))))
+    before = F.slice(F.concat(F.array(F.lit(START)), tokens), F.lit(1), F.size(tokens))
     pairs = F.arrays_zip(before.alias("prev"), tokens.alias("cur"))
-    return df.filter(F.size(tokens) > 0).select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.prev", "_p.cur")
+    return df.select(*keep, F.explode(pairs).alias("_p")).select(*keep, "_p.prev", "_p.cur")
 
 
 def fit_token_counts(train: DataFrame, target: str = "target_text") -> DataFrame:
@@ -129,7 +131,7 @@ def token_logp(
     """
     size = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
     counts = Staging(df.sparkSession).put(counts, "bigrams")
-    distinct = df.filter(F.col(target).isNotNull()).select(F.col(target).alias("target")).distinct()
+    distinct = df.select(F.col(target).alias("target")).distinct()
     tokens = _bigrams(distinct, "target", "target")
     before = counts.groupBy("prev").agg(F.sum("n").alias("n_prev"))
     types = counts.agg(F.countDistinct("cur").alias("v")).scalar()
