@@ -427,6 +427,18 @@ def q_benchmark(spark, sf_dir):
     )
 
 
+def q_evaluation_totals(spark, sf_dir):
+    """The part of the totals that SQL can compute; similarity is pruned away."""
+    totals = q_evaluation_metrics(spark, sf_dir)
+    return totals.select("rows", F.round("accuracy", 4).alias("accuracy"), F.round("mean_perplexity", 4).alias("mean_perplexity"))
+
+
+def q_benchmark_predictions(spark, sf_dir):
+    """The benchmark without its similarity column."""
+    rows = q_benchmark(spark, sf_dir)
+    return rows.drop("prediction_score").withColumn("perplexity", F.round("perplexity", 4))
+
+
 def first_word_predictor():
     """A stand-in for a model: the first word of the text, scored by its length."""
     return lambda texts: [(t.split(" ", 1)[0], -float(len(t.split(" ", 1)[0]))) for t in texts]

@@ -103,10 +103,9 @@ def fitted(rows: str) -> str:
    UNION ALL SELECT 2, NULL, NULL, target_text, count(*) FROM {rows} GROUP BY target_text)"""
 
 
-def predicted(k: int) -> str:
-    return f"""{MASKED_CODE}, {PARTS}, {with_context('parts')},
- fit AS (SELECT * FROM ctx WHERE split = 'train'), test AS (SELECT * FROM ctx WHERE split = 'test'),
- {fitted('fit')},
+def answered(k: int) -> str:
+    """The k leading targets of the longest known context, from ``model`` and ``test``."""
+    return f"""
  ranked AS (SELECT *, row_number() OVER (PARTITION BY level, prev_line, next_line ORDER BY n DESC, target) AS rank FROM model),
  firsts AS (SELECT * FROM ranked WHERE rank <= {k}),
  joined AS (
@@ -116,6 +115,12 @@ def predicted(k: int) -> str:
  answers AS (SELECT *, min(level) OVER (PARTITION BY o_orderkey) AS used FROM joined)"""
 
 
+def predicted(k: int) -> str:
+    return f"""{MASKED_CODE}, {PARTS}, {with_context('parts')},
+ fit AS (SELECT * FROM ctx WHERE split = 'train'), test AS (SELECT * FROM ctx WHERE split = 'test'),
+ {fitted('fit')}, {answered(k)}"""
+
+
 TOKENS = "regexp_extract_all(target_text, '[A-Za-z0-9_]+|[^A-Za-z0-9_ ]')"
 
 
@@ -123,6 +128,13 @@ def bigrams(source: str, keep: str) -> str:
     return f"""SELECT {keep} unnest(list_prepend('<s>', {TOKENS})[:-2]) AS prev, unnest({TOKENS}) AS cur FROM {source}"""
 
 
+PERPLEXITY = f"""grams AS (SELECT prev, cur, count(*) AS n FROM ({bigrams('fit', '')}) GROUP BY prev, cur),
+ before AS (SELECT prev, sum(n) AS np FROM grams GROUP BY prev), v AS (SELECT count(DISTINCT cur) AS v FROM grams),
+ tokens AS ({bigrams('test', 'o_orderkey,')}),
+ ppl AS (SELECT o_orderkey, exp(-avg(ln((coalesce(n, 0) + 1)::double / (coalesce(np, 0) + v)::double))) AS perplexity
+   FROM tokens LEFT JOIN grams USING (prev, cur) LEFT JOIN before USING (prev), v GROUP BY o_orderkey)"""
+
+
 WORDS = rf"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{BLANKS}\p{{L}}\p{{N}}\x{{E000}}]+|[{BLANKS}]+"""
 
 ROUND_TRIP = f"""WITH {MASKED_CODE} SELECT count(*) AS texts, count(*) AS with_def_token, count(*) AS with_if_token,
@@ -230,12 +242,17 @@ SQL = {
     "predict_topk": f"""WITH {predicted(5)} SELECT o_orderkey, level, rank::int AS rank, target AS predicted_if, n FROM answers
    WHERE level = used""",
     "token_perplexity": f"""WITH {MASKED_CODE}, {PARTS}, fit AS (SELECT * FROM parts WHERE split = 'train'),
- test AS (SELECT * FROM parts WHERE split = 'test'),
- grams AS (SELECT prev, cur, count(*) AS n FROM ({bigrams('fit', '')}) GROUP BY prev, cur),
- before AS (SELECT prev, sum(n) AS np FROM grams GROUP BY prev), v AS (SELECT count(DISTINCT cur) AS v FROM grams),
- tokens AS ({bigrams('test', 'o_orderkey,')})
- SELECT o_orderkey, round(exp(-avg(ln((coalesce(n, 0) + 1)::double / (coalesce(np, 0) + v)::double))), 4) AS perplexity
- FROM tokens LEFT JOIN grams USING (prev, cur) LEFT JOIN before USING (prev), v GROUP BY o_orderkey""",
+ test AS (SELECT * FROM parts WHERE split = 'test'), {PERPLEXITY}
+ SELECT o_orderkey, round(perplexity, 4) AS perplexity FROM ppl""",
+    "evaluation_totals": f"""WITH {predicted(1)}, {PERPLEXITY}
+ SELECT (SELECT count(*) FROM test) AS rows,
+   (SELECT round(avg(CASE WHEN target = target_text THEN 1.0 ELSE 0.0 END::double) * 100, 4) FROM answers WHERE level = used) AS accuracy,
+   (SELECT round(avg(perplexity), 4) FROM ppl) AS mean_perplexity""",
+    "benchmark_predictions": f"""WITH fit AS (WITH {MASKED_CODE}, {PARTS}, {with_context('parts')} SELECT * FROM ctx WHERE split = 'train'),
+ test AS (WITH {masked('orders', MIXED)}, {with_context('masked')} SELECT * FROM ctx),
+ {fitted('fit')}, {answered(1)}, {PERPLEXITY}
+ SELECT t.o_orderkey, t.code, t.input_text, t.target_text, t.has_if, a.target AS predicted_if, round(p.perplexity, 4) AS perplexity
+ FROM test t JOIN answers a ON a.o_orderkey = t.o_orderkey AND a.level = a.used LEFT JOIN ppl p ON p.o_orderkey = t.o_orderkey""",
     "exact_match_accuracy": f"""WITH {predicted(1)} SELECT count(*) AS rows,
    round(avg(CASE WHEN target = target_text THEN 1.0 ELSE 0.0 END::double) * 100, 4) AS accuracy FROM answers WHERE level = used""",
     "score_batches": """SELECT doc_id, split(text, ' ')[1] AS predicted_if, -len(split(text, ' ')[1])::double AS score FROM documents""",
