@@ -33,3 +33,13 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
 def fraction_hash(*columns: Column) -> Column:
     """A draw in [0, 1) that depends on the values alone, for samples that any re-run repeats."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) / float(1 << 30)
+
+
+def broadcast_below(small: DataFrame, limit: int) -> DataFrame:
+    """``small`` with a broadcast hint if its values take at most ``limit`` bytes, else as it is: Spark then shuffles both sides.
+
+    ``small`` should be a staged table: it is counted first.
+    """
+    width = sum((F.octet_length(name) if kind == "string" else F.lit(8)) + F.lit(16) for name, kind in small.dtypes)
+    total = small.agg(F.sum(F.coalesce(width, F.lit(16)))).first()[0] or 0
+    return F.broadcast(small) if total <= limit else small

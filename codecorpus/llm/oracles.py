@@ -1,3 +1,33 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    # windows of ten words as lists, joined by value; a short item is one window
+    "op8_decontamination": r"""
+with words as (
+  select doc_id, row_number() over () as row_id, text,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), items as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), sized as (select item_id, w, least(10, len(w)) as n from items where len(w) > 0
+), wanted as (
+  select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win
+  from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from sized)
+), lengths as (select distinct n from wanted
+), spans as (
+  select row_id, w, n, unnest(range(1, len(w) - n + 2)) as i from words, lengths where len(w) >= n
+), found as (
+  select s.row_id, s.i, s.n, k.item_id
+  from (select row_id, i, n, array_to_string(w[i:i + n - 1], ' ') as win from spans) s join wanted k on s.win = k.win and s.n = k.n
+), hit as (
+  select row_id, count(distinct p) as n_hit from (select row_id, unnest(range(i, i + n)) as p from found) group by row_id
+), named as (
+  select row_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+  from (select distinct row_id, coalesce(cast(item_id as varchar), '') as item from found) group by row_id
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit using (row_id) left join named using (row_id)
+""",
+}
