@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from codecorpus.session import Staging
@@ -13,7 +13,7 @@ from codecorpus.session import Staging
 #: digit and ASCII letter belongs to a word.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-__all__ = ["NOT_WORD", "Staging", "ascii_lower", "fraction_hash", "held_out", "table"]
+__all__ = ["NOT_WORD", "Staging", "ascii_lower", "bounded_sample", "broadcast_below", "fraction_hash", "held_out", "table"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,3 +43,15 @@ def broadcast_below(small: DataFrame, limit: int) -> DataFrame:
     width = sum((F.octet_length(name) if kind == "string" else F.lit(8)) + F.lit(16) for name, kind in small.dtypes)
     total = small.agg(F.sum(F.coalesce(width, F.lit(16)))).first()[0] or 0
     return F.broadcast(small) if total <= limit else small
+
+
+def bounded_sample(rows: DataFrame, by: str, limit: int, *key: str) -> DataFrame:
+    """At most ``limit`` rows for each value of ``by``, chosen by a hash of ``key``; all rows where there are fewer.
+
+    The number of rows is counted first, so that few more rows than are wanted reach the final ranking.
+    """
+    sizes = Staging(rows.sparkSession).put(rows.groupBy(by).agg(F.count("*").alias("__n")), "sizes")
+    draw = rows.join(F.broadcast(sizes), by).withColumn("__draw", fraction_hash(*key))
+    near = draw.filter(F.col("__draw") * F.col("__n") < 1.2 * limit + 50)
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("__draw", *key))
+    return near.withColumn("__rank", rank).filter(F.col("__rank") <= limit).drop("__n", "__draw", "__rank")

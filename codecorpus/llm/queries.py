@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codecorpus.llm import decontaminate, fingerprints, licenses, sharding, simhash
+from codecorpus.llm import decontaminate, fingerprints, licenses, sharding, simhash, toxicity
 from codecorpus.llm.common import table
 
 
@@ -31,10 +31,15 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_fingerprints": op3_fingerprints,
     "op4_sharding": op4_sharding,
     "op5_licenses": op5_licenses,
     "op8_decontamination": op8_decontamination,
+    "op2_toxicity": op2_toxicity,
 }
