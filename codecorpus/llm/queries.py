@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codecorpus.llm import decontaminate, fingerprints, licenses, sharding, simhash, toxicity
+from codecorpus.llm import decontaminate, fingerprints, licenses, quality, sharding, simhash, toxicity
 from codecorpus.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_fingerprints": op3_fingerprints,
@@ -42,4 +46,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_licenses": op5_licenses,
     "op8_decontamination": op8_decontamination,
     "op2_toxicity": op2_toxicity,
+    "op7_quality": op7_quality,
 }
