@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codecorpus.llm import decontaminate, fingerprints, licenses, quality, sharding, simhash, toxicity
+from codecorpus.llm import decontaminate, fingerprints, langid, licenses, quality, sharding, simhash, toxicity
 from codecorpus.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_fingerprints": op3_fingerprints,
@@ -47,4 +51,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op2_toxicity": op2_toxicity,
     "op7_quality": op7_quality,
+    "op10_language": op10_language,
 }
