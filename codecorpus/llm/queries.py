@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codecorpus.llm import decontaminate, fingerprints, langid, licenses, quality, sharding, simhash, toxicity
+from codecorpus.llm import decontaminate, fingerprints, langid, licenses, quality, sentencepieces, sharding, simhash, toxicity
 from codecorpus.llm.common import table
 
 
@@ -43,6 +43,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encoded(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_fingerprints": op3_fingerprints,
@@ -52,4 +56,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op7_quality": op7_quality,
     "op10_language": op10_language,
+    "op9_sentencepiece": op9_sentencepiece,
 }
