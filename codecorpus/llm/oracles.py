@@ -29,5 +29,43 @@ with words as (
 select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
   sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words left join hit using (row_id) left join named using (row_id)
+""",
+    # all combinations of up to three tokens of the labelled pages, counted
+    "op6_url_rules": r"""
+with parts as (
+  select page_id, url, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages
+), rules(kind, dom, start) as (
+  values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fits as (
+  select row_number() over () as row_id, * from parts
+), best as (
+  select row_id, arg_max(dom || start, length(dom || start)) as rule, arg_max(kind, length(dom || start)) as written
+  from fits, rules where (host = dom or ends_with(host, '.' || dom)) and starts_with(path, start) group by row_id
+), rows as (
+  select f.*, rule, written, list_sort(list_distinct(list_concat(
+    list_transform(list_filter(string_split(host, '.'), lambda x: x != ''), lambda x: 'h:' || x),
+    list_transform(list_filter(string_split(path, '/'), lambda x: x != ''), lambda x: 'p:' || regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '#', 'g')),
+    list_transform(list_filter(string_split(coalesce(regexp_extract(url, '^[^?#]*\?([^#]*)', 1), ''), '&'), lambda x: x != ''), lambda x: 'q:' || regexp_extract(x, '^([^=]*)', 1))
+  ))) as tokens
+  from fits f left join best using (row_id)
+), tok as (select row_id, written, unnest(tokens) as t from rows
+), sets as (
+  select row_id, written, [t] as s from tok
+  union all select a.row_id, a.written, [a.t, b.t] from tok a join tok b on a.row_id = b.row_id and a.t < b.t
+  union all select a.row_id, a.written, [a.t, b.t, c.t] from tok a join tok b on a.row_id = b.row_id and a.t < b.t join tok c on a.row_id = c.row_id and b.t < c.t
+), total as (select count(*) as n from rows where written is not null and (len(tokens) > 0 or written = 'block')
+), mined as (
+  select s, count(*) as n, count(*) filter (where written = 'block') as blocked from sets where written is not null group by s
+), good as (
+  select s from mined, total where blocked >= ceil(0.01 * total.n) and blocked::double / mined.n >= 0.9
+), minimal as (
+  select array_to_string(s, ' ') as name, s from good g
+  where not exists (select 1 from good h where len(h.s) < len(g.s) and list_has_all(g.s, h.s))
+), found as (
+  select row_id, min(name) as mined_rule from sets join minimal using (s) where written is null group by row_id
+)
+select page_id, host, path, rule, coalesce(written, case when mined_rule is not null then 'block' else 'allow' end) as verdict, mined_rule
+from rows left join found using (row_id)
 """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codecorpus.llm import decontaminate, fingerprints, langid, licenses, quality, sentencepieces, sharding, simhash, toxicity
+from codecorpus.llm import decontaminate, fingerprints, langid, licenses, quality, sentencepieces, sharding, simhash, toxicity, url_rules
 from codecorpus.llm.common import table
 
 
@@ -47,6 +47,10 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encoded(table(spark, sf_dir, "documents"))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.verdicts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_fingerprints": op3_fingerprints,
@@ -57,4 +61,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality": op7_quality,
     "op10_language": op10_language,
     "op9_sentencepiece": op9_sentencepiece,
+    "op6_url_rules": op6_url_rules,
 }
