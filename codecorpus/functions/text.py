@@ -62,9 +62,11 @@ def nonblank_lines(col: Column) -> Column:
     """Number of lines that hold more than whitespace.
 
     The first visible character of a line takes the rest of that line with it,
-    so each such line is one match and no array of lines is built.
+    so each such line is one match. Each match becomes one mark; what is no mark
+    goes, so no array of lines is built.
     """
-    return F.regexp_count(col, F.lit(rf"{NOT_BLANK}[^{BREAK_CHARS}]*"))
+    marked = F.regexp_replace(F.replace(col, F.lit("\u0001"), F.lit("x")), rf"{NOT_BLANK}[^{BREAK_CHARS}]*", "\u0001")
+    return F.length(marked) - F.length(F.replace(marked, F.lit("\u0001"), F.lit("")))
 
 
 def newline_count(col: Column) -> Column:

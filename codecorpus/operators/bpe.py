@@ -34,7 +34,8 @@ TARGET_LENGTH = 64
 MAX_VOCAB_ROWS = 1_000_000
 FIRST_PAIRS = 512
 MAX_PAIRS = 16_384
-MAX_SEGMENTS = 100_000
+#: Symbols of a round's segments, in all, that the driver may hold.
+MAX_SYMBOLS = 100_000
 CACHED_WORDS = 500_000
 
 
@@ -257,7 +258,7 @@ def learn_merges(
     special: list[str] = SPECIAL_TOKENS,
     by_line: bool = True,
     first_pairs: int = FIRST_PAIRS,
-    max_segments: int = MAX_SEGMENTS,
+    max_symbols: int = MAX_SYMBOLS,
 ) -> Vocabulary:
     """Learn a vocabulary: the most frequent pair is merged, again and again.
 
@@ -267,8 +268,10 @@ def learn_merges(
     pair, and any pair that a merge makes out of one, counts t at most, so while
     the best listed count is above t it is the best of all. All occurrences of
     listed pairs lie in segments whose every pair is listed; their counts are a
-    short table that decides the round. Its size is checked, and with fewer
-    pairs listed it shrinks, down to one pair and its repeats.
+    short table that decides the round. Its symbols are counted first: beyond
+    ``max_symbols`` fewer pairs are listed, and if even those of the first pair
+    (runs of any length, say) are too many, the round is the first pair alone,
+    which needs no segments. The vocabulary is the same for all limits.
     """
     spark = df.sparkSession
     staging = Staging(spark)
@@ -296,16 +299,17 @@ def learn_merges(
             break
         while True:
             pairs = {(p.left, p.right) for p in leading[:listed]}
-            segments = _segments(words, pairs).limit(max_segments + 1).collect()
-            if len(segments) <= max_segments or listed == 1:
+            table = staging.put(_segments(words, pairs), "segments")
+            held = table.agg(F.sum(F.size("segment") + 1)).first()[0] or 0
+            if held <= max_symbols or listed == 1:
                 break
             listed = max(1, listed // 4)
         rest = leading[listed] if len(leading) > listed else None
         first_new = len(tokens)
-        simulated = _Round([(list(s.segment), s.n) for s in segments])
+        simulated = _Round([(list(s.segment), s.n) for s in table.collect()]) if held <= max_symbols else None
         ranks: dict = {}
         while len(tokens) < vocab_size:
-            best = simulated.best()
+            best = simulated.best() if simulated else (leading[0].n, (leading[0].left, leading[0].right))
             if best is None or best[0] < min_frequency:
                 break
             n, pair = best
@@ -322,13 +326,13 @@ def learn_merges(
             new = ids[token]
             ranks[pair] = (len(merges), new)
             merges.append((*pair, new))
-            if known:
+            if known or not simulated:
                 # Older occurrences of this symbol are outside the segments.
                 break
             simulated.merge(pair, new)
         turn += 1
         words = staging.put(_merge_words(words, ranks), f"symbols-{turn % 2}")
-        if len(segments) < max_segments // 4:
+        if held < max_symbols // 4:
             listed = min(listed * 2, MAX_PAIRS)
     return Vocabulary(tokens, merges, list(special))
 
@@ -395,13 +399,33 @@ def fit_length(ids: Column, max_len: int | None, pad: bool, truncate: bool, pad_
 
 
 def encode(
-    df: DataFrame, vocab: Vocabulary, col: str = "text", out: str = "input_ids", max_len: int | None = MAX_LENGTH,
+    df: DataFrame, vocab: Vocabulary, col: str = "text", out: str = "input_ids", max_len: int | None = None,
     pad: bool = True, truncate: bool = True,
 ) -> DataFrame:
+    """Adds the ids of the whole text; with ``max_len`` cut or padded to that length."""
     df = df.withColumn("_ids", encode_column(F.col(col), vocab))
     return df.withColumn(out, fit_length(F.col("_ids"), max_len, pad, truncate)).drop("_ids")
 
 
+def encode_windows(
+    df: DataFrame, vocab: Vocabulary, col: str = "text", out: str = "input_ids", max_len: int = MAX_LENGTH, pad_id: int = PAD_ID
+) -> DataFrame:
+    """The whole text in successive windows: one row per window with ``window`` (from 0) and padded ids.
+
+    An empty or null text has one window of pads.
+    """
+    ids = F.coalesce(F.col("_ids"), F.array().cast("array<int>"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size(ids) - 1, F.lit(0)), F.lit(max_len))
+    pieces = F.transform(starts, lambda s: F.slice(ids, s + 1, F.lit(max_len)))
+    cut = df.withColumn("_ids", encode_column(F.col(col), vocab)).select(*df.columns, F.posexplode(pieces).alias("window", out))
+    return cut.withColumn(out, fit_length(F.col(out), max_len, True, False, pad_id))
+
+
+def without_pads(ids: Column, pad_id: int = PAD_ID) -> Column:
+    """The ids up to the last one that is no pad."""
+    return F.filter(ids, lambda x: x != pad_id)
+
+
 def attention_mask(ids: Column, pad_id: int = PAD_ID) -> Column:
     return F.transform(ids, lambda x: (x != pad_id).cast("int"))
 

@@ -32,16 +32,21 @@ def at_or_before(keys: list[str], values) -> Column:
 def nth_key(df: DataFrame, keys: list[str], n: int, small: int = SMALL, sample: int = SAMPLE, total: int | None = None):
     """The n-th smallest key (from 1) as a tuple; None if there are fewer rows.
 
-    Keys must be unique and not null. Each pass samples the range still in
+    Keys must be unique and not null; a null key or one that repeats at the cut is
+    an error. Each pass samples the range still in
     question, brackets the wanted rank between two sampled keys and counts both
     sides exactly, until few enough keys are left to sort. The sample decides
     how fast the range shrinks, never the answer.
     """
     rows = df.select(*keys)
-    left = rows.count() if total is None else total
+    absent = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    size = rows.agg(F.count("*").alias("rows"), F.count_if(absent).alias("null_keys")).first()
+    if size.null_keys:
+        raise ValueError(f"{size.null_keys} rows have no key in {keys}")
+    left = size.rows if total is None else total
     if n < 1 or n > left:
         return None
-    seed = 0
+    seed = still = 0
     while left > max(small, sample):
         seed += 1
         drawn = rows.sample(min(1.0, sample / left), seed=seed).limit(4 * sample).collect()
@@ -56,6 +61,7 @@ def nth_key(df: DataFrame, keys: list[str], n: int, small: int = SMALL, sample:
             low, high = None, drawn[len(drawn) // 2 - 1]
         below = at_or_before(keys, low) if low else F.lit(False)
         inside = (at_or_before(keys, high) if high else F.lit(True)) & ~below
+        before = left
         counts = rows.agg(F.count_if(below).alias("below"), F.count_if(inside).alias("inside")).first()
         if n <= counts.below:
             rows, left = rows.filter(below), counts.below
@@ -64,7 +70,13 @@ def nth_key(df: DataFrame, keys: list[str], n: int, small: int = SMALL, sample:
         else:
             passed = counts.below + counts.inside
             rows, n, left = rows.filter(~(below | inside)), n - passed, left - passed
-    return tuple(rows.orderBy(*keys).offset(n - 1).limit(1).first())
+        still = still + 1 if left == before else 0
+        if still == 5:  # sampled brackets halve the range unless it is one repeated key
+            raise ValueError(f"keys in {keys} repeat")
+    found = [tuple(r) for r in rows.orderBy(*keys).offset(n - 1).limit(2).collect()]
+    if len(found) == 2 and found[0] == found[1]:
+        raise ValueError(f"keys in {keys} repeat: {found[0]}")
+    return found[0]
 
 
 def head(df: DataFrame, n: int, order: list[str], small: int = SMALL) -> DataFrame:

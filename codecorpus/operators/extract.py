@@ -45,21 +45,24 @@ def _segment(lines: list[str], node: ast.AST) -> str:
     return "\n".join(chosen)
 
 
-def _file_rows(path: str, content: bytes) -> list[tuple]:
-    """One status row (seq -1), then one row per definition."""
-
-    def status(value: str) -> tuple:
-        return (path, -1, value, None, None, None, None, None)
-
+def _parsed(content: bytes) -> tuple[str, str, ast.AST | None]:
+    """Status, text and tree of one file."""
     try:
         text = decode_source(content)
-        tree = ast.parse(text)
+        return "parsed", text, ast.parse(text)
     except SyntaxError:
-        return [status("syntax_error")]
+        return "syntax_error", "", None
     except Exception:
-        return [status("other_error")]
+        return "other_error", "", None
+
+
+def _file_rows(path: str, content: bytes) -> list[tuple]:
+    """One status row (seq -1), then one row per definition."""
+    status, text, tree = _parsed(content)
+    rows: list[tuple] = [(path, -1, status, None, None, None, None, None)]
+    if tree is None:
+        return rows
     lines = text.split("\n")
-    rows = [status("parsed")]
     for seq, node in enumerate(_definitions(tree)):
         try:
             code = _segment(lines, node)
@@ -111,8 +114,13 @@ def status_of(parsed: DataFrame) -> DataFrame:
 
 
 def file_status(files: DataFrame) -> DataFrame:
-    """``parsed``, ``syntax_error`` or ``other_error`` per file."""
-    return status_of(parse_files(files))
+    """``parsed``, ``syntax_error`` or ``other_error`` per file; no function text is cut out or sent."""
+
+    @F.pandas_udf("string")
+    def of(contents: pd.Series) -> pd.Series:
+        return contents.map(lambda content: _parsed(content)[0])
+
+    return files.select("path", of(F.col("content").cast("binary")).alias("status"))
 
 
 def segment_errors(parsed: DataFrame) -> DataFrame:

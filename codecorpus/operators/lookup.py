@@ -7,23 +7,30 @@ from pyspark.sql import DataFrame, functions as F
 from codecorpus.session import Staging
 
 BROADCAST_ROWS = 200_000
-HOT_SHARE = 0.01
+BROADCAST_BYTES = 64 << 20
 SPREAD = 100_000
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether the table has no more than ``rows`` rows; reads no more than needed."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(table: DataFrame, rows: int, most_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored table has no more than so many rows and bytes (as JSON text, an upper estimate)."""
+    size = table.agg(F.count("*").alias("rows"), F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    return size.rows <= rows and (size.bytes or 0) <= most_bytes
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
+def hot_share(df: DataFrame) -> float:
+    """A key is hot from about a quarter of a task's fair share of the rows on."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(0.01, max(1e-4, 1 / (4 * tasks)))
+
+
+def hot_keys(df: DataFrame, on: list[str], share: float | None = None) -> DataFrame:
     """All keys that hold ``share`` of the rows or more, and perhaps some others.
 
     One pass with a fixed number of counters per task; the list cannot grow with
     the data. Which keys are in it changes the plan of a join, never its result.
     """
     keyed = df.select(F.struct(*on).alias("k"))
-    found = keyed.freqItems(["k"], share).select(F.explode("k_freqItems").alias("k")).select("k.*")
+    found = keyed.freqItems(["k"], share or hot_share(df)).select(F.explode("k_freqItems").alias("k")).select("k.*")
     return df.sparkSession.createDataFrame(found.collect(), df.select(*on).schema)
 
 
@@ -41,9 +48,9 @@ def lookup_join(
     if not staged:
         # Stored once: its size is checked first, then it is joined.
         table = Staging(df.sparkSession).put(table, "lookup")
-    if at_most(table, broadcast_rows):
-        return df.join(F.broadcast(table), on, how)
     values = [c for c in table.columns if c not in on]
+    if fits_broadcast(table, broadcast_rows):
+        return df.join(F.broadcast(table), on, how).select(*df.columns, *values)
     hot = hot_keys(df, on)
     found = table.join(F.broadcast(hot), on, "left_semi").select(*on, F.struct(*values).alias("_near"))
     served = hot.join(found, on, "left").withColumn("_hot", F.lit(True))

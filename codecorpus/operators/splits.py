@@ -22,7 +22,7 @@ def split_dataset(df: DataFrame, key: str, seed: int = 42, exact: bool = True, s
 
     The exact form finds the two digests at which the parts end; the split is
     then a comparison per row, without sorting or moving any row. Keys must be
-    unique. The other form compares the draw with fixed shares, so its sizes are
+    unique and not null, else an error is raised. The other form compares the draw with fixed shares, so its sizes are
     near the shares and it needs no pass of its own.
     """
     hexes = digest(seed, F.col(key))

@@ -32,8 +32,9 @@ def score_histogram(df: DataFrame, score: str = "prediction_score", bins: int =
     """``bin, lo, hi, n``: equal bins from the least to the greatest score.
 
     The last bin is closed. One distinct value gets the range of half a unit on
-    either side. Empty bins are left out.
+    either side. Empty bins are left out, as are rows whose score is null or NaN.
     """
+    df = df.filter(F.col(score).isNotNull() & ~F.isnan(score))
     ends = df.agg(F.min(score).alias("lo"), F.max(score).alias("hi")).select(
         F.struct(
             F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
@@ -43,7 +44,7 @@ def score_histogram(df: DataFrame, score: str = "prediction_score", bins: int =
     ends = ends.scalar()
     lo, hi = ends.getField("lo"), ends.getField("hi")
     at = F.least(F.floor((F.col(score) - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
-    counted = df.filter(F.col(score).isNotNull()).groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
+    counted = df.groupBy(at.alias("bin")).agg(F.count("*").alias("n"))
     width = (hi - lo) / bins
     return counted.select(
         "bin", (lo + F.col("bin") * width).alias("lo"), (lo + (F.col("bin") + 1) * width).alias("hi"), "n"

@@ -352,7 +352,7 @@ def q_validate_tokenizer(spark, sf_dir):
 
 
 def q_pretrain_table(spark, sf_dir):
-    rows = datasets.pretrain_table(code(spark, sf_dir), _code_vocabulary(spark, sf_dir), "o_orderkey", n=1000)
+    rows = datasets.pretrain_table(code(spark, sf_dir), _code_vocabulary(spark, sf_dir), "o_orderkey")
     return validate.validate_pretrain(rows)
 
 
@@ -368,7 +368,7 @@ def q_confidence(spark, sf_dir):
 
 
 def _finetune(spark, sf_dir) -> DataFrame:
-    return datasets.finetune_table(code(spark, sf_dir), "o_orderkey", n=10_000)
+    return datasets.finetune_table(code(spark, sf_dir), "o_orderkey")
 
 
 def q_finetune_table(spark, sf_dir):

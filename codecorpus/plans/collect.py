@@ -92,9 +92,9 @@ def description(counters: DataFrame) -> DataFrame:
 
 
 def collect_functions(
-    spark: SparkSession, root: str, url_list: str, max_functions: int = clean.MAX_FUNCTIONS, exact_urls: bool = False
+    spark: SparkSession, root: str, url_list: str, max_functions: int | None = None, exact_urls: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """The whole flow: ``(function table, counter row)``.
+    """The whole flow: ``(function table, counter row)``; with ``max_functions`` it stops at so many kept functions.
 
     Every file is parsed once; the parsed rows are staged, then read by the
     cleaning, the cap and the counters.
@@ -103,7 +103,7 @@ def collect_functions(
     parsed = staging.put(extract.parse_files(readers.read_source_files(spark, root)), "parsed")
     funcs = extract.functions_of(parsed)
     status = extract.status_of(parsed)
-    cut = clean.cap_cut(funcs, max_functions)
+    cut = None if max_functions is None else clean.cap_cut(funcs, max_functions)
     if cut is not None:
         funcs = funcs.filter(caps.at_or_before(["path", "seq"], cut))
         # The file in which the cap is reached counts as scanned.

@@ -231,11 +231,11 @@ SQL = {
     "prepare_pairs": f"""WITH {MASKED_CODE} SELECT o_orderkey, 512::bigint AS input_len, 64::bigint AS label_len, true AS masked,
    input_text AS input_decoded, target_text AS target_decoded FROM masked""",
     "validate_tokenizer": ROUND_TRIP,
-    "pretrain_table": """SELECT least(count(*), 1000) AS rows, 0::bigint AS bad_rows, 0::bigint AS list_text, 0::bigint AS length,
+    "pretrain_table": """SELECT count(*) AS rows, 0::bigint AS bad_rows, 0::bigint AS list_text, 0::bigint AS length,
    0::bigint AS nothing_masked, true AS passed FROM orders""",
     "append_mask": "SELECT doc_id, text || ' <mask>' AS text FROM documents",
     "confidence": """SELECT event_id, round(exp(-value / 10) / (exp(-value / 10) + 1e-8::double) * 100, 4) AS confidence FROM events""",
-    "finetune_table": f"""WITH {MASKED_CODE}, capped AS (SELECT * FROM masked ORDER BY o_orderkey LIMIT 10000),
+    "finetune_table": f"""WITH {MASKED_CODE}, capped AS (SELECT * FROM masked),
  {SPLIT.replace('FROM orders', 'FROM capped')}
  SELECT o_orderkey, input_text, target_text, split FROM capped JOIN split USING (o_orderkey)""",
     "statement_model": f"""WITH {MASKED_CODE}, {with_context('masked')}, {fitted('ctx')} SELECT * FROM model""",

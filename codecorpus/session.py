@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+FEW_SPLITS = 8
 
 
 def local_session(cores: int | str = "*", app: str = "codecorpus", memory: str = "8g") -> SparkSession:
@@ -27,17 +30,23 @@ def local_session(cores: int | str = "*", app: str = "codecorpus", memory: str =
     )
 
 
+@functools.cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"codecorpus-{application}-")
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for staged tables: the cluster's checkpoint folder.
 
-    Only a local session without one gets a temporary folder; on a cluster that
-    folder would be lost with its machine, so a missing setting is an error.
+    Only a session whose driver and executors are one process gets a temporary
+    folder, one for the session; elsewhere that folder would be lost with its
+    machine, so a missing setting is an error.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if root:
         return root.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="codecorpus-")
+    if re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
+        return _local_root(spark.sparkContext.applicationId)
     raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
 
 
@@ -58,11 +67,17 @@ class Staging:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def remove(self) -> None:
+        """Delete this job's tables, once nothing reads them any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.base)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A fresh scan that has fewer splits than there are cores, over all cores.
+def spread(scan: DataFrame, few: int = FEW_SPLITS) -> DataFrame:
+    """A fresh scan of a handful of splits, over more cores.
 
-    A large table has more splits than cores and is left as it is: no shuffle.
+    That is a table of about a gigabyte at most; every larger one is left as it
+    is, however many cores there are: no shuffle.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
+    cores = min(few, scan.sparkSession.sparkContext.defaultParallelism)
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from codecorpus.functions.text import require_columns
@@ -10,6 +15,8 @@ from codecorpus.functions.text import require_columns
 # such as NA or nan must stay text.
 NULL_MARKER = "\u0000null\u0000"
 
+MAX_LIST_FILES = 100
+
 FUNCTION_SCHEMA = T.StructType(
     [
         T.StructField("repo_name", T.StringType()),
@@ -67,12 +74,18 @@ def read_repo_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line_no, line`` of one text file; numbers grow with the position.
+    """``line_no, line`` of a text file, or of a folder's files in the order of their names.
 
-    The splits of one file are read in file order, so an increasing id needs no
-    sort. The numbers have gaps; only their order counts.
+    Numbers grow with the position; they have gaps, only their order counts. A
+    list of files is read as one branch per file, since one scan of all would
+    order them by size. Such lists are few files.
     """
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
+    files = sorted(spark.read.text(path).inputFiles())
+    if len(files) > MAX_LIST_FILES:
+        raise ValueError(f"{path} has {len(files)} files; an ordered list may have {MAX_LIST_FILES}")
+    parts = [spark.read.text(f) for f in files] or [spark.createDataFrame([], "value string")]
+    lines = reduce(DataFrame.unionAll, parts)
+    return lines.select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
 
 
 def read_url_list(spark: SparkSession, path: str) -> DataFrame:
@@ -86,20 +99,50 @@ def read_url_list(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def list_files(spark: SparkSession, root: str, suffix: str) -> list[tuple[str]]:
+    """URIs of all files below a folder, hidden ones included."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True)
+    names = []
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        if name.endswith(suffix):
+            names.append((name,))
+    return names
+
+
+def _read_whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        contents = []
+        for uri in frame["path"]:
+            system, name = fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
+            with system.open_input_stream(name) as stream:
+                contents.append(stream.read())
+        yield pd.DataFrame({"path": frame["path"], "content": contents})
+
+
 def read_source_files(spark: SparkSession, root: str, suffix: str = ".py") -> DataFrame:
     """``path, content``: paths relative to ``root``, content as bytes.
 
     The scan packs files by size, which is also the cost of parsing them, so the
-    content is not shuffled again. Spark's file sources leave out files of zero
-    bytes; they hold no function, and the file counters do not see them.
+    content is not shuffled again. Spark's scans leave out files of zero bytes
+    and names that begin with ``_`` or ``.``, such as ``__init__.py``: whatever a
+    listing has and the scan has not is read in tasks of its own.
     """
     root = root.rstrip("/")
-    files = (
+    scan = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{suffix}")
         .load(root)
     )
+    listed = spark.createDataFrame(list_files(spark, root, suffix), "path string")
+    plain = lambda path: F.regexp_replace(path, "^file:/+", "/")
+    seen = scan.select(plain(F.col("path")).alias("path"))
+    rest = listed.select(plain(F.col("path")).alias("path")).join(seen, "path", "left_anti")
+    files = scan.select(plain(F.col("path")).alias("path"), "content").unionByName(
+        rest.mapInPandas(_read_whole, "path string, content binary"))
     # The scan gives full URIs; the folder may be written with or without scheme.
     folder = root.split("://", 1)[-1] if "://" in root else root
     folder = folder.removeprefix("file:")

@@ -40,12 +40,12 @@ def library(tmp_path, texts, vocab_size, min_frequency):
     return tok
 
 
-@pytest.mark.parametrize("first_pairs,max_segments", [(512, 100_000), (8, 40)])
-def test_same_vocabulary_and_ids_as_the_public_library(spark, tmp_path, first_pairs, max_segments):
+@pytest.mark.parametrize("first_pairs,max_symbols", [(512, 100_000), (8, 40), (1, 2)])
+def test_same_vocabulary_and_ids_as_the_public_library(spark, tmp_path, first_pairs, max_symbols):
     texts = corpus(random.Random(first_pairs))
     tok = library(tmp_path, texts, 190, 3)
     lines = text_frame(spark, [t + "\n" for t in texts])
-    vocab = bpe.learn_merges(lines, vocab_size=190, first_pairs=first_pairs, max_segments=max_segments)
+    vocab = bpe.learn_merges(lines, vocab_size=190, first_pairs=first_pairs, max_symbols=max_symbols)
     assert vocab.tokens == [tok.id_to_token(i) for i in range(tok.get_vocab_size())]
     probes = texts + ["unseen ЖЗ <mask><if_mask> <pad>", "<s>if x:</s>"]
     rows = bpe.encode(text_frame(spark, probes), vocab, max_len=None)
@@ -97,12 +97,29 @@ def test_rounds_equal_one_merge_at_a_time(spark, seed):
     # Repeated words give many equal counts; each stands alone in its line.
     texts = [w for w, n in words.items() for _ in range(n)]
     vocab = bpe.learn_merges(
-        text_frame(spark, texts), vocab_size=60, min_frequency=2, special=["<s>"], first_pairs=6, max_segments=30
+        text_frame(spark, texts), vocab_size=60, min_frequency=2, special=["<s>"], first_pairs=6, max_symbols=30
     )
     want = exact_merges(words, {"<s>": 0, "a": 1, "b": 2, "c": 3}, 60, 2)
     assert [(a, b) for a, b, _ in vocab.merges] == want
 
 
+@pytest.mark.parametrize("first_pairs,max_symbols", [(512, 100_000), (1, 2), (4, 60)])
+def test_runs_of_any_length_give_the_same_merges(spark, first_pairs, max_symbols):
+    words = Counter("=" * i for i in range(2, 60))
+    vocab = bpe.learn_merges(
+        text_frame(spark, list(words)), vocab_size=8, min_frequency=1, special=["<s>"], first_pairs=first_pairs,
+        max_symbols=max_symbols, by_line=False)
+    assert [(a, b) for a, b, _ in vocab.merges] == exact_merges(words, {"<s>": 0, "=": 1}, 8, 1)
+
+
+def test_windows_keep_the_whole_text(spark):
+    vocab = bpe.learn_merges(text_frame(spark, TEXTS), vocab_size=80, min_frequency=2)
+    rows = bpe.encode_windows(text_frame(spark, ["abc def " * 30, ""]), vocab, max_len=7).orderBy("id", "window").collect()
+    whole = bpe.encode(text_frame(spark, ["abc def " * 30]), vocab).first().input_ids
+    assert [x for r in rows if r.text for x in r.input_ids][: len(whole)] == whole
+    assert all(len(r.input_ids) == 7 for r in rows) and [r.window for r in rows if not r.text] == [0]
+
+
 def test_pair_counts_and_words(spark):
     words = bpe.word_frequencies(text_frame(spark, ["a b  b\n\nb", "a"]), "text")
     assert dict(values(words, "word", "n")) == {"a": 2, " b": 2, " ": 1, "\n": 2, "b": 1}

@@ -12,8 +12,9 @@ FILES = {
     "one/bad.py": b"def f(:\n",
     "two/null.py": b"x = '\x00'\n",
     "two/utf.py": b"# \xff\xfe caf\xc3\xa9\ndef h(): return '\xc3\xa9\xff' ; z = 1\ndef i(a,\n      b):\n    return a\n",
-    # Spark's file sources leave out empty files; this one is the next smallest.
-    "two/empty.py": b"\n",
+    "two/empty.py": b"",
+    "two/sp ace+/__init__.py": b"",
+    "two/_hidden.py": b"def hidden():\n    pass\n",
     "two/note.txt": b"def no():\n    pass\n",
     "two/copy.py": b"def h(a):\n    # c\n    return a\n\nif 1:\n    def h(a):\n        # c\n        return a\n",
     "zed/copy.py": b"def h(a):\n    # c\n    return a\n",
@@ -64,7 +65,7 @@ def test_whole_flow(spark, tmp_path):
     assert table.columns == readers.FUNCTION_SCHEMA.fieldNames()
     c = counters.first().asDict()
     rows = values(table, "repo_name", "repo_url", "file_path", "function_name")
-    assert (c["files_scanned"], c["files_parsed"], c["files_syntax_error"], c["files_other_error"]) == (8, 6, 2, 0)
+    assert (c["files_scanned"], c["files_parsed"], c["files_syntax_error"], c["files_other_error"]) == (10, 8, 2, 0)
     raw = sum(len(expected(p)) for p in FILES if p.endswith(".py") and p not in ("one/bad.py", "two/null.py"))
     assert c["functions_raw"] == raw
     assert c["functions_raw"] == sum(
@@ -78,8 +79,8 @@ def test_whole_flow(spark, tmp_path):
     report = collect.description(counters)
     writers.write_report(report, str(tmp_path / "report"))
     lines = [r.value for r in spark.read.text(str(tmp_path / "report")).collect()]
-    assert lines[0] == "Total Python files scanned: 8" and len(lines) == 11
+    assert lines[0] == "Total Python files scanned: 10" and len(lines) == 11
 
     capped, counters = collect.collect_functions(spark, root, str(tmp_path / "urls.txt"), max_functions=2)
     assert capped.count() == 2 == counters.first().functions_written
-    assert counters.first().files_scanned < 8
+    assert counters.first().files_scanned < 10
