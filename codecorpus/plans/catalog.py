@@ -352,8 +352,15 @@ def q_validate_tokenizer(spark, sf_dir):
 
 
 def q_pretrain_table(spark, sf_dir):
-    rows = datasets.pretrain_table(code(spark, sf_dir), _code_vocabulary(spark, sf_dir), "o_orderkey")
-    return validate.validate_pretrain(rows)
+    """Labels put back into the masked ids, then decoded: the code of every row."""
+    vocab = _code_vocabulary(spark, sf_dir)
+    rows = datasets.pretrain_table(code(spark, sf_dir), vocab, "o_orderkey")
+    whole = F.zip_with("input_ids", "labels", lambda i, x: F.when(x == -100, i).otherwise(x))
+    rows = bpe.decode(rows.withColumn("_ids", bpe.without_pads(whole)), vocab, "_ids", "restored")
+    return rows.select(
+        "o_orderkey", F.size("input_ids").cast("bigint").alias("ids"), F.size("labels").cast("bigint").alias("labels"),
+        "original_code_snippet", "restored",
+    )
 
 
 # --- prediction and scoring ---------------------------------------------------------
@@ -562,4 +569,53 @@ def q_splits_written(spark, sf_dir):
     return spark.read.parquet(path).select("o_orderkey", "target_text", F.col("split").cast("string").alias("split"))
 
 
+def q_repo_lists(spark, sf_dir):
+    """Repository names through a CSV table, their URLs through a text list."""
+    base = Staging(spark).base
+    name = F.concat(F.lower("c_mktsegment"), F.lit("/tool-"), (F.col("c_custkey") % 97).cast("string"))
+    writers.write_results(table(spark, sf_dir, "customer").select(name.alias("name"), "c_custkey"), f"{base}/repos")
+    writers.write_url_list(repos.repo_urls(readers.read_repo_table(spark, f"{base}/repos")), f"{base}/urls")
+    return readers.read_url_list(spark, f"{base}/urls").select("url")
+
+
+def source_tree(spark, sf_dir) -> DataFrame:
+    """One file per page: empty ``__init__.py`` files, broken ones, notes of another suffix, functions with copies."""
+    n = F.col("page_id")
+    number, kind = n.cast("string"), (n % 50).cast("string")
+    name = F.when(n % 5 == 0, F.concat(F.lit("p"), number, F.lit("/__init__.py")))
+    name = name.when(n % 11 == 2, F.concat(F.lit("note"), number, F.lit(".txt"))).otherwise(F.concat(F.lit("m"), number, F.lit(".py")))
+    function = F.concat(F.lit("def f_"), kind, F.lit("(x):\n    y = x\n    return y + "), kind, F.lit("\n"))
+    text = F.when(n % 5 == 0, "").when(n % 7 == 1, "def (:\n").otherwise(function)
+    path = F.concat(F.lit("repo"), (n % 20).cast("string"), F.lit("/"), name)
+    return table(spark, sf_dir, "pages").select(path.alias("path"), F.encode(text, "UTF-8").alias("content"))
+
+
+def q_collect_flow(spark, sf_dir):
+    """A tree of files written, collected, and the lines of its report."""
+    base = Staging(spark).base
+    writers.write_files(source_tree(spark, sf_dir), f"{base}/tree")
+    names = table(spark, sf_dir, "pages").select(F.concat(F.lit("own/repo"), (F.col("page_id") % 20).cast("string")).alias("name"))
+    writers.write_url_list(repos.repo_urls(names), f"{base}/urls")
+    rows, counters = collect.collect_functions(spark, f"{base}/tree", f"{base}/urls")
+    writers.write_functions(rows, f"{base}/functions")
+    writers.write_report(collect.description(counters), f"{base}/report")
+    written = readers.read_functions(spark, f"{base}/functions", "parquet").agg(F.concat(F.lit("rows: "), F.count("*").cast("string")).alias("line"))
+    return spark.read.text(f"{base}/report").select(F.col("value").alias("line")).unionByName(written)
+
+
+def q_scored_report(spark, sf_dir):
+    """Scored rows through CSV, then the whole report in one table."""
+    path = f"{Staging(spark).base}/scored"
+    rows = scored_events(spark, sf_dir).select(
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("code"), F.lit('a "b",\nc').alias("input_text"), "target_text", "has_if",
+        "predicted_if", "prediction_score", "value")
+    writers.write_results(rows.select("code", "input_text", "target_text", "has_if", "predicted_if", "prediction_score", F.col("value").alias("perplexity")), path)
+    parts = summary.report(readers.read_scored(spark, path), key="code")
+    mean = parts["mean"].select(F.lit("mean").alias("part"), F.lit("").alias("name"), F.col("rows").alias("n"), F.round("mean_score", 4).alias("score"))
+    ends = [parts[p].select(F.lit(p).alias("part"), F.col("predicted_if").alias("name"), F.lit(1).cast("bigint").alias("n"),
+                            F.col("prediction_score").alias("score")) for p in ("worst", "best")]
+    bins = parts["histogram"].select(F.lit("histogram").alias("part"), F.col("bin").cast("string").alias("name"), "n", F.round("lo", 4).alias("score"))
+    return mean.unionByName(ends[0]).unionByName(ends[1]).unionByName(bins)
+
+
 QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")}

@@ -39,6 +39,7 @@ COUNTERS = f"""
  SELECT s.*, c.*, functions_raw - functions_written - short_functions - long_functions - empty_functions - invalid_lines
    AS duplicates FROM s, c"""
 
+# The report's rows, in order, with their titles.
 REPORT = [
     ("files_scanned", "Total Python files scanned"),
     ("files_parsed", "Total Python files successfully parsed (AST)"),
@@ -231,8 +232,8 @@ SQL = {
     "prepare_pairs": f"""WITH {MASKED_CODE} SELECT o_orderkey, 512::bigint AS input_len, 64::bigint AS label_len, true AS masked,
    input_text AS input_decoded, target_text AS target_decoded FROM masked""",
     "validate_tokenizer": ROUND_TRIP,
-    "pretrain_table": """SELECT count(*) AS rows, 0::bigint AS bad_rows, 0::bigint AS list_text, 0::bigint AS length,
-   0::bigint AS nothing_masked, true AS passed FROM orders""",
+    "pretrain_table": f"""SELECT o_orderkey, 512::bigint AS ids, 512::bigint AS labels, {CODE} AS original_code_snippet,
+   {CODE} AS restored FROM orders""",
     "append_mask": "SELECT doc_id, text || ' <mask>' AS text FROM documents",
     "confidence": """SELECT event_id, round(exp(-value / 10) / (exp(-value / 10) + 1e-8::double) * 100, 4) AS confidence FROM events""",
     "finetune_table": f"""WITH {MASKED_CODE}, capped AS (SELECT * FROM masked),
@@ -283,4 +284,19 @@ SQL = {
    GROUP BY line""",
     "pretrain_csv": f"""SELECT o_orderkey::int AS id, (o_custkey % 7)::int AS label, {CODE} AS original_code_snippet FROM orders""",
     "splits_written": f"""WITH {MASKED_CODE}, {SPLIT} SELECT o_orderkey, target_text, split FROM masked JOIN split USING (o_orderkey)""",
+    "repo_lists": """SELECT DISTINCT 'https://github.com/' || lower(c_mktsegment) || '/tool-' || c_custkey % 97 AS url FROM customer""",
+    "collect_flow": """WITH files AS (SELECT page_id AS n, page_id % 5 = 0 OR page_id % 11 <> 2 AS py,
+   page_id % 5 <> 0 AND page_id % 7 = 1 AS broken, page_id % 5 = 0 AS blank FROM pages),
+ c AS (SELECT count(*) AS scanned, count(*) FILTER (WHERE broken) AS bad, count(*) FILTER (WHERE NOT broken AND NOT blank) AS raw,
+   count(DISTINCT n % 50) FILTER (WHERE NOT broken AND NOT blank) AS kept FROM files WHERE py),
+ counted AS (SELECT scanned AS files_scanned, scanned - bad AS files_parsed, bad AS files_syntax_error, 0 AS files_other_error, raw AS functions_raw,
+   0 AS short_functions, 0 AS long_functions, 0 AS empty_functions, 0 AS invalid_lines, raw - kept AS duplicates, kept AS functions_written FROM c)
+ """ + " UNION ALL ".join(f"SELECT '{title}: ' || {name}::varchar AS line FROM counted" for name, title in REPORT)
+    + " UNION ALL SELECT 'rows: ' || functions_written::varchar AS line FROM counted",
+    "scored_report": f"""WITH {SCORED}, e AS (SELECT min(score) AS lo, max(score) AS hi FROM rows),
+ b AS (SELECT least(floor((score - lo) / (hi - lo) * 20), 19)::int AS bin, lo AS a, (hi - lo) / 20 AS w FROM rows, e)
+ SELECT 'mean' AS part, '' AS name, count(*) AS n, round(avg(score), 4) AS score FROM rows
+ UNION ALL SELECT 'worst', predicted_if, 1::bigint, score FROM (SELECT * FROM rows ORDER BY score, event_id LIMIT 10)
+ UNION ALL SELECT 'best', predicted_if, 1::bigint, score FROM (SELECT * FROM rows ORDER BY score DESC, event_id LIMIT 10)
+ UNION ALL SELECT 'histogram', bin::varchar, count(*), round(a + bin * w, 4) FROM b GROUP BY bin, a, w""",
 }

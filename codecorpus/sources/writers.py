@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
 from codecorpus.functions.text import require_columns
@@ -43,7 +47,24 @@ def write_corpus(df: DataFrame, path: str, col: str = "original_code") -> None:
 
 
 def write_url_list(df: DataFrame, path: str) -> None:
-    df.select("url").write.mode("overwrite").text(path)
+    """A list of a few files: its lines are read back in order."""
+    df.select("url").coalesce(8).write.mode("overwrite").text(path)
+
+
+def write_files(df: DataFrame, root: str) -> None:
+    """``path, content``: one file per row below ``root``. Tasks write their own files; a repeated task writes the same again."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, top = fs.FileSystem.from_uri(root) if ":/" in root else (fs.LocalFileSystem(), root)
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"]):
+                name = f"{top}/{path}"
+                system.create_dir(name.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(name) as stream:
+                    stream.write(content)
+            yield frame[["path"]]
+
+    df.select("path", "content").mapInPandas(run, "path string").write.format("noop").mode("overwrite").save()
 
 
 def write_report(df: DataFrame, path: str) -> None:

@@ -69,3 +69,16 @@ def test_split_does_not_depend_on_partitions_or_method(spark):
 def test_exact_split_moves_no_rows(spark, sf):
     df = splits.split_dataset(spark.read.parquet(f"{sf}/orders.parquet"), "o_orderkey")
     assert "Exchange" not in df._jdf.queryExecution().toString()
+
+
+def test_null_and_repeated_keys_are_errors(spark):
+    nulls = spark.createDataFrame([(None,), (1,), (2,), (3,)], "k int")
+    with pytest.raises(ValueError, match="no key"):
+        caps.head(nulls, 4, ["k"])
+    with pytest.raises(ValueError, match="no key"):
+        splits.split_dataset(nulls, "k")
+    same = spark.createDataFrame([(7,)] * 100, "k int").repartition(4).cache()
+    with pytest.raises(ValueError, match="repeat"):
+        caps.nth_key(same, ["k"], 50, small=10, sample=10)
+    with pytest.raises(ValueError, match="repeat"):
+        caps.head(spark.createDataFrame([(1,), (2,), (2,)], "k int"), 2, ["k"])

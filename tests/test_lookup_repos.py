@@ -91,3 +91,19 @@ def test_url_list_order_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [r.url for r in sorted(rows)] == [f"https://h/o/r{i}" for i in range(3000) if i % 5]
+
+
+def test_columns_do_not_depend_on_the_size(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, k string")
+    table = spark.createDataFrame([("a", 10)], "k string, v int")
+    near, far = (lookup.lookup_join(df, table, ["k"], broadcast_rows=n) for n in (100, 0))
+    assert near.columns == far.columns == ["id", "k", "v"]
+    assert values(near, "id", F.coalesce("v", F.lit(-1))) == values(far, "id", F.coalesce("v", F.lit(-1)))
+
+
+def test_lines_of_a_folder_are_in_name_order(spark, tmp_path):
+    (tmp_path / "list").mkdir()
+    (tmp_path / "list" / "a.txt").write_text("first\n")
+    (tmp_path / "list" / "b.txt").write_text("".join(f"b{i}\n" for i in range(50)))
+    lines = readers.read_raw_lines(spark, str(tmp_path / "list")).orderBy("line_no").collect()
+    assert [r.line for r in lines] == ["first", *(f"b{i}" for i in range(50))]

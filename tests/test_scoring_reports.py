@@ -141,3 +141,8 @@ def test_training_log(spark):
     assert tuple(training_log.best_checkpoint(log).first()) == (1500, 1.0, 2000)
     assert tuple(training_log.loss_summary(log).first()) == (3, 7.0, 4.0, 3.0)
     assert values(training_log.loss_by_epoch(log, 5), "bucket", "entries", "mean_loss") == [(0, 1, 7.0), (1, 2, 3.5)]
+
+
+def test_histogram_leaves_out_nan(spark):
+    rows = spark.createDataFrame([(0.0,), (1.0,), (float("nan"),), (None,)], "prediction_score double")
+    assert values(summary.score_histogram(rows, bins=2), "bin", "lo", "hi", "n") == [(0, 0.0, 0.5, 1), (1, 0.5, 1.0, 1)]
