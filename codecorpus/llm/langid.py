@@ -149,7 +149,7 @@ def fit(docs: DataFrame, text_column: str = "text", lang_column: str = "lang", i
     def fit_one(group: pd.DataFrame) -> pd.DataFrame:
         found, known = vectors(group["text"].tolist(), idf)
         if not known.any():
-            return pd.DataFrame({"lang": [], "centroid": [], "cutoff": []})
+            return pd.DataFrame({"lang": [], "centroid": [], "cutoff": []}, dtype=object)
         centres, own = cluster(found[known], centroids)
         least = [np.quantile(own[own[:, 0] == c, 1], 0.001) if (own[:, 0] == c).any() else 2.0 for c in range(len(centres))]
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": centres.astype(float).tolist(), "cutoff": CUTOFF * np.array(least)})

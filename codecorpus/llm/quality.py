@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     def measured(texts: pd.Series) -> pd.Series:
         return pd.Series([list(map(float, features_of(t))) for t in texts])
 
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "part", measured(F.col("text").cast("binary")).alias("x"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "part", measured(F.col("text").cast("binary")).alias("x"))
     got = rows.toPandas().sort_values("doc_id")
     part = lambda name: np.array(got["x"][got["part"] == name].tolist(), float).reshape(-1, len(FEATURES))
     return fit(part("good"), part("unlabelled"))
