@@ -67,5 +67,35 @@ with parts as (
 )
 select page_id, host, path, rule, coalesce(written, case when mined_rule is not null then 'block' else 'allow' end) as verdict, mined_rule
 from rows left join found using (row_id)
+""",
+    # CRC-32 by its bytewise table; cuts at equal targets of one running sum
+    "op4_sharding": r"""
+with steps as (
+  select list(v order by i) as t from (select i, list_reduce(range(8),
+    lambda c, k: case when c % 2 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end, i::bigint) as v from range(256) r(i))
+), bytes as (
+  select doc_id, coalesce(text, '') as text,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::bigint) as b from documents
+), base as (
+  select doc_id, (strlen(text) + 16)::bigint as size, ('0x' || left(sha256(text), 15))::bigint as digest,
+    xor(list_reduce(b, lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295::bigint), 4294967295::bigint) as crc from bytes, steps
+), placed as (
+  select *, (sum(size) over o - size)::bigint as start, row_number() over o - 1 as rank, (sum(size) over ())::bigint as total from base
+  window o as (order by digest, doc_id nulls first, size, crc rows between unbounded preceding and current row)
+), crossed as (
+  select digest, start, rank, size, total, unnest(range(start * 40 // total + 1, (start + size) * 40 // total + 1)) as shard from placed
+), same as (
+  select digest, min(start) as g_start, min(rank) as g_rank, sum(size)::bigint as g_size, count(*) as g_rows from placed group by digest
+), chosen as (
+  select shard, total, g_size * 40 <= 0.02::double * total as whole, case when whole then g_start else start end as s,
+    case when whole then g_rank else rank end as r, case when whole then g_size else size end as n, case when whole then g_rows else 1 end as k
+  from crossed join same using (digest) where shard < 40
+), cuts as (
+  select case when 2 * (shard * total - s * 40) >= n * 40 then s + n else s end as cut,
+    case when 2 * (shard * total - s * 40) >= n * 40 then r + k else r end as cut_rank from chosen
+), found as (
+  select doc_id, size, crc, rank, (select count(*) from cuts where cut <= start) as shard, (select coalesce(max(cut_rank), 0) from cuts where cut <= start) as first from placed
+)
+select doc_id, size, crc as text_crc32, 'bytes' as law, shard::int as shard, (rank - first)::bigint as slot, null::int as grown_shard from found
 """,
 }
