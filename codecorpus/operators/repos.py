@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from codecorpus.functions.text import local_repo_name, repo_url, strip
-from codecorpus.operators.lookup import lookup_join
+from codecorpus.operators.lookup import BROADCAST_ROWS, fits_broadcast, lookup_join
+from codecorpus.session import Staging
 
 UNKNOWN_URL = "https://github.com/unknown/unknown"
 
@@ -28,11 +29,13 @@ def first_line_containing(names: DataFrame, lines: DataFrame, name: str = "repo_
     """``name, url``: the first list line that holds the name, trimmed.
 
     Comparing every name with every line grows with their product. Instead each
-    line gives its substrings, of the lengths that names have; the smallest line
-    number per substring is taken before the shuffle, and equal text joins. The
-    work is linear in the lines, and common substrings stay one row per task.
+    line gives its substrings, of the lengths that names have, and equal text
+    joins. Names of a checked size are broadcast, so that substrings that are no
+    name never leave their task and the shuffle grows with the matches. Beyond
+    that size the smallest line number per substring is taken before the shuffle.
     """
     distinct = names.select(F.col(name).alias("_name")).filter("_name IS NOT NULL").distinct()
+    distinct = Staging(names.sparkSession).put(distinct, "names")
     lengths = distinct.agg(F.collect_set(F.length("_name")).alias("l")).scalar()
 
     def of_length(n):
@@ -41,12 +44,10 @@ def first_line_containing(names: DataFrame, lines: DataFrame, name: str = "repo_
 
     fitting = F.filter("_lengths", lambda n: n <= F.length(line))
     pieces = F.array_distinct(F.flatten(F.transform(fitting, of_length)))
-    firsts = (
-        lines.withColumn("_lengths", lengths)
-        .select("line_no", F.explode(pieces).alias("_name"))
-        .groupBy("_name")
-        .agg(F.min("line_no").alias("line_no"))
-    )
+    held = lines.withColumn("_lengths", lengths).select("line_no", F.explode(pieces).alias("_name"))
+    if fits_broadcast(distinct, BROADCAST_ROWS):
+        held = held.join(F.broadcast(distinct), "_name", "left_semi")
+    firsts = held.groupBy("_name").agg(F.min("line_no").alias("line_no"))
     found = distinct.join(firsts, "_name").join(lines.select("line_no", line), "line_no")
     return found.select(F.col("_name").alias(name), strip(F.col(line)).alias("url"))
 
