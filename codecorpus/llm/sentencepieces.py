@@ -25,10 +25,12 @@ import itertools
 import math
 import os
 import re
+from collections.abc import Iterator
 from operator import itemgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,26 +38,29 @@ from pyspark.sql import functions as F
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 N_BEST = 3
 #: Parts that a worker keeps, at most, and the longest part that is kept.
-CACHE = 400_000
+CACHE = 300_000
 LONGEST_KEPT = 40
+#: Rows of one output batch: ids take more room than their text.
+ROWS_AT_ONCE = 128
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: How much worse than the least piece a byte is.
 BYTE_PENALTY = 10.0
 
 
 class Parts(dict):
-    """Solved parts of texts; the oldest half goes when it is full."""
+    """Solved parts of texts in two generations: when the young one is full it becomes the old one, whose
+    parts are forgotten unless they are asked for again. Frequent parts so always stay."""
 
     def __init__(self, solve, limit: int = CACHE):
         super().__init__()
-        self.solve, self.limit = solve, limit
+        self.solve, self.limit, self.old = solve, limit, {}
 
     def __missing__(self, part: str):
-        found = self.solve(part)
+        found = self.old.get(part) or self.solve(part)
         if len(part) <= LONGEST_KEPT:
-            if len(self) >= self.limit:
-                for key in list(itertools.islice(self, self.limit // 2)):
-                    del self[key]
+            if len(self) >= self.limit // 2:
+                self.old = dict(self)
+                self.clear()
             self[part] = found
         return found
 
@@ -73,7 +78,12 @@ class Pieces:
             scores = {i: -math.log(k + 1) - log_total for k, i in enumerate(ranks)}
         self.text = {i: model.id_to_piece(i).replace("▁", " ") for i in plain}
         self.pieces = {t: (i, scores[i]) for i, t in self.text.items()}
-        self.begins = {t[:k] for t in self.pieces for k in range(1, len(t) + 1)}
+        self.tree: dict = {}  # character -> (tree after it, ids and score of the piece that ends there)
+        for t, (i, score) in self.pieces.items():
+            after = self.tree
+            for char in t[:-1]:
+                after = after.setdefault(char, ({}, (), 0.0))[0]
+            after[t[-1]] = (after[t[-1]][0] if t[-1] in after else {}, (i,), score)
         self.longest = max(map(len, self.pieces))
         self.byte_ids = {int(model.id_to_piece(i)[1:-1], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_score = min(scores.values()) - BYTE_PENALTY
@@ -94,21 +104,22 @@ class Pieces:
 
     def lattice(self, part: str) -> tuple[list[list[tuple[int, tuple[int, ...], float]]], list[float]]:
         """For each place the pieces that end there (start, ids, score), and the best score from the start (Viterbi)."""
-        n, pieces, begins = len(part), self.pieces, self.begins
+        n = len(part)
         ending: list[list] = [[] for _ in range(n + 1)]
         best = [0.0] + [-math.inf] * n
         for i in range(n):
-            here, single = best[i], False
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                sub = part[i:j]
-                if sub not in begins:
+            here, j, after, single = best[i], i, self.tree, False
+            for char in part[i : i + self.longest]:
+                node = after.get(char)
+                if node is None:
                     break
-                if sub in pieces:
-                    piece, score = pieces[sub]
-                    ending[j].append((i, (piece,), score))
-                    single |= j == i + 1
+                after, ids, score = node
+                j += 1
+                if ids:
+                    ending[j].append((i, ids, score))
                     if here + score > best[j]:
                         best[j] = here + score
+                    single = single or j == i + 1
             if not single:
                 ids = tuple(self.byte_ids[b] for b in part[i].encode())
                 score = self.byte_score * len(ids)
@@ -118,13 +129,17 @@ class Pieces:
         return ending, best
 
     def paths(self, part: str, n: int | None = None) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best paths of a part as (score, ids), best first: A-star from the end."""
+        """The ``n`` best paths of a part as (score, ids), best first: A-star from the end.
+
+        As the forward scores are exact, each open state stands for one whole path, so no more
+        states than paths still wanted need stay open.
+        """
+        n = n or self.n_best
         ending, best = self.lattice(part)
-        count = itertools.count()  # settles ties, the same way each time
-        heap = [(-best[-1], 0, len(part), 0.0, None)]
-        found = []
-        while heap and len(found) < (n or self.n_best):
-            _, _, at, score, tail = heapq.heappop(heap)
+        opened = [(best[-1], 0, len(part), 0.0, None)]  # total, order (settles ties), place, score behind, pieces behind
+        found, order = [], 0
+        while opened and len(found) < n:
+            _, _, at, score, tail = opened.pop(0)
             if not at:
                 ids: list[int] = []
                 while tail:
@@ -133,7 +148,11 @@ class Pieces:
                 found.append((score, tuple(ids)))
                 continue
             for start, ids, own in ending[at]:
-                heapq.heappush(heap, (-(score + own + best[start]), next(count), start, score + own, (ids, tail)))
+                order -= 1
+                opened.append((score + own + best[start], order, start, score + own, (ids, tail)))
+            if len(opened) > 1:
+                opened.sort(reverse=True)
+                del opened[n - len(found) :]
         return found
 
     def _solve(self, part: str) -> tuple[tuple[int, ...], float, tuple[float, ...]]:
@@ -147,7 +166,7 @@ class Pieces:
             return [], []
         solved = list(map(self.parts.__getitem__, self.split(" " + text)))
         ids = list(itertools.chain.from_iterable(map(itemgetter(0), solved)))
-        total = math.fsum(map(itemgetter(1), solved))
+        total = sum(map(itemgetter(1), solved))
         losses = [x for x in map(itemgetter(2), solved) if x]
         # only the n - 1 parts whose second path loses least can differ among the n best
         sums = [0.0]
@@ -181,8 +200,8 @@ def encode(text: Column, path: str = MODEL, n_best: int = N_BEST) -> Column:
     @F.pandas_udf("ids array<int>, scores array<double>")
     def of(texts: pd.Series) -> pd.DataFrame:
         pieces = load(path, n_best)
-        found = [pieces.encode(t) for t in texts]
-        return pd.DataFrame({"ids": [np.array(x, np.int32) for x, _ in found], "scores": [np.array(y, float) for _, y in found]})
+        found = [(np.array(x, np.int32), np.array(y, float)) for x, y in map(pieces.encode, texts)]
+        return pd.DataFrame({"ids": [x for x, _ in found], "scores": [y for _, y in found]})
 
     return of(text)
 
@@ -202,16 +221,24 @@ def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFra
     ``scores``: of the n best segmentations, best first. ``exact``: decoding gives the text back (null counts as empty).
     """
 
-    @F.pandas_udf("ids array<int>, scores array<double>, exact boolean")
-    def both(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path, n_best)
-        ids, scores, exact = [], [], []
-        for text in texts:
-            found, best = pieces.encode(text)
-            ids.append(np.array(found, np.int32))
-            scores.append(np.array(best, float))
-            exact.append(pieces.decode(found) == (text or ""))
-        return pd.DataFrame({"ids": ids, "scores": scores, "exact": exact})
-
-    found = docs.select("doc_id", both(F.col("text")).alias("x"))
-    return found.select("doc_id", "x.ids", F.size("x.ids").cast("bigint").alias("n_pieces"), "x.scores", "x.exact")
+        for batch in batches:
+            for at in range(0, len(batch), ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                ids, scores, exact = [], [], []
+                for text in part["text"]:
+                    text = text.as_py()
+                    found, best = pieces.encode(text)
+                    ids.append(np.array(found, np.int32))
+                    scores.append(best)
+                    exact.append(pieces.decode(found) == (text or ""))
+                lengths = np.array(list(map(len, ids)), np.int64)
+                ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+                yield pa.record_batch({
+                    "doc_id": part["doc_id"], "ids": pa.ListArray.from_arrays(ends, np.concatenate(ids)), "n_pieces": lengths,
+                    "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", F.col("text")).mapInArrow(
+        run, f"doc_id {kind}, ids array<int>, n_pieces bigint, scores array<double>, exact boolean")
