@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 N_BEST = 3
 #: Parts that a worker keeps, at most, and the longest part that is kept.
-CACHE = 300_000
+CACHE = 800_000
 LONGEST_KEPT = 40
 #: Rows of one output batch: ids take more room than their text.
 ROWS_AT_ONCE = 128
@@ -104,12 +104,12 @@ class Pieces:
 
     def lattice(self, part: str) -> tuple[list[list[tuple[int, tuple[int, ...], float]]], list[float]]:
         """For each place the pieces that end there (start, ids, score), and the best score from the start (Viterbi)."""
-        n = len(part)
+        n, tree, longest = len(part), self.tree, self.longest
         ending: list[list] = [[] for _ in range(n + 1)]
         best = [0.0] + [-math.inf] * n
         for i in range(n):
-            here, j, after, single = best[i], i, self.tree, False
-            for char in part[i : i + self.longest]:
+            here, j, after = best[i], i, tree
+            for char in part[i : i + longest]:
                 node = after.get(char)
                 if node is None:
                     break
@@ -119,8 +119,7 @@ class Pieces:
                     ending[j].append((i, ids, score))
                     if here + score > best[j]:
                         best[j] = here + score
-                    single = single or j == i + 1
-            if not single:
+            if not ending[i + 1] or ending[i + 1][-1][0] != i:  # no piece for this character
                 ids = tuple(self.byte_ids[b] for b in part[i].encode())
                 score = self.byte_score * len(ids)
                 ending[i + 1].append((i, ids, score))
