@@ -13,7 +13,6 @@ significantly bound to a label there are used, so that long texts gather no nois
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codecorpus.llm.common import bounded_sample
+from codecorpus.llm.common import Staging, bounded_sample
 
 #: Labelled rows that the chain is fitted on, at most, for each value of the last label.
 SAMPLE = 6000
@@ -68,19 +67,22 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int
     return w
 
 
-def select_features(sets: list[set[str]], y: np.ndarray, least_z: float = LEAST_Z, most: int = MAX_FEATURES) -> list[str]:
-    """Features whose share among the rows of label 1 differs from that among the others by ``least_z`` standard errors."""
-    one, two = Counter(), Counter()
-    for s, label in zip(sets, y, strict=True):
-        (one if label else two).update(s)
-    n1, n2 = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
-    found = []
-    for f in set(one) | set(two):
-        p = (one[f] + two[f]) / (n1 + n2)
-        z = abs(one[f] / n1 - two[f] / n2) / max(np.sqrt(p * (1 - p) * (1 / n1 + 1 / n2)), 1e-12)
-        if z >= least_z and one[f] + two[f] >= 3:
-            found.append((-z, f))
-    return [f for _, f in sorted(found)[:most]]
+def select_features(rows: DataFrame, least_z: float = LEAST_Z, most: int = MAX_FEATURES) -> list[str]:
+    """``rows``: ``text`` and a 0/1 ``label``. The features whose share among label 1 differs from that among
+    label 0 by ``least_z`` standard errors, most significant first; those in fewer than three texts are left out."""
+
+    @F.pandas_udf("array<string>")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(features_of(t)) for t in texts], dtype=object)
+
+    ones, n = (x or 0 for x in rows.agg(F.sum("label"), F.count("*")).first())
+    counts = rows.select("label", F.explode(of(F.col("text"))).alias("feature")).groupBy("feature").agg(
+        F.sum("label").alias("one"), F.count("*").alias("all"))
+    n1, n2 = max(1, ones), max(1, n - ones)
+    share = F.col("all") / (n1 + n2)
+    z = F.abs(F.col("one") / n1 - (F.col("all") - F.col("one")) / n2) / F.sqrt(F.greatest(share * (1 - share) * (1 / n1 + 1 / n2), F.lit(1e-24)))
+    found = counts.withColumn("z", z).filter((F.col("all") >= 3) & (F.col("z") >= least_z))
+    return [r.feature for r in found.orderBy(F.desc("z"), "feature").limit(most).collect()]
 
 
 @dataclass(frozen=True)
@@ -115,15 +117,10 @@ class Chain:
         return of(text)
 
 
-def fit_chain(texts: list[str | None], labels: np.ndarray, folds: np.ndarray, categories: list[str]) -> Chain:
-    """``labels``: a row for each text, a column for each category. ``folds``: each row's fold, from 0."""
-    sets = [features_of(t) for t in texts]
-    names = select_features(sets, labels.max(axis=1)) if len(sets) else []
-    place = {f: k for k, f in enumerate(names)}
-    x = np.zeros((len(sets), len(names)))
-    for row, s in enumerate(sets):
-        x[row, [place[f] for f in s if f in place]] = 1
-    before = np.zeros((len(sets), 0))
+def fit_chain(x: np.ndarray, labels: np.ndarray, folds: np.ndarray, categories: list[str], names: list[str]) -> Chain:
+    """``x``: 0/1, a row for each text, a column for each feature of ``names``. ``labels``: a column for each
+    category. ``folds``: each row's fold."""
+    before = np.zeros((len(x), 0))
     weights = []
     for c in range(len(categories)):
         seen, y = np.column_stack((x, before)), labels[:, c].astype(float)
@@ -131,13 +128,13 @@ def fit_chain(texts: list[str | None], labels: np.ndarray, folds: np.ndarray, ca
         outside = np.zeros(len(y))
         for fold in np.unique(folds):
             there = folds == fold
-            if there.all():
-                w = weights[-1]  # a single fold: nothing is left to train on
-            else:
-                w = fit_logistic(seen[~there], y[~there])
+            # a single fold leaves nothing to train on
+            w = weights[-1] if there.all() else fit_logistic(seen[~there], y[~there])
             outside[there] = sigmoid(seen[there] @ w[:-1] + w[-1])
         before = np.column_stack((before, outside))
-    clean = before[labels[:, -1] == 0, -1] if len(labels) else before
+    if not labels[:, -1].any():
+        return Chain(categories, names, weights, np.inf)  # nothing was ever called toxic
+    clean = before[labels[:, -1] == 0, -1]
     threshold = min(0.5, float(np.quantile(clean, 1 - FALSE_SHARE)) + 1e-9) if len(clean) else 0.5
     return Chain(categories, names, weights, max(threshold, 0.05))
 
@@ -151,12 +148,27 @@ def labelled_kinds(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
-    """A chain fitted on at most ``sample`` rows of each value of ``labels.toxic``."""
+    """A chain fitted on at most ``sample`` rows of each value of ``labels.toxic``.
+
+    Features are counted and looked up in tasks; the driver gets the places of the chosen ones in each row.
+    """
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = bounded_sample(known, "toxic", sample, "doc_id")
     rows = labelled_kinds(docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi"), chosen)
-    rows = rows.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS))).toPandas().sort_values(["doc_id", "text"])
-    return fit_chain(rows["text"].tolist(), rows[CHAIN].to_numpy(), rows["fold"].to_numpy(), CHAIN)
+    rows = Staging(docs.sparkSession).put(rows, "sample").repartition("doc_id")
+    names = select_features(rows.select("text", F.greatest(*CHAIN).alias("label")))
+    place = {f: k for k, f in enumerate(names)}
+
+    @F.pandas_udf("array<int>")
+    def places(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.array(sorted(place[f] for f in features_of(t) if f in place), np.int32) for t in texts], dtype=object)
+
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold")
+    got = rows.select("doc_id", fold, *CHAIN, places(F.col("text")).alias("at")).toPandas().sort_values("doc_id", kind="stable")
+    x = np.zeros((len(got), len(names)))
+    for row, at in enumerate(got["at"]):
+        x[row, at] = 1
+    return fit_chain(x, got[CHAIN].to_numpy(), got["fold"].to_numpy(), CHAIN, names)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
