@@ -259,13 +259,17 @@ def fingerprint_hex(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The columns of ``docs``, one row for each component: the first by id (null ids last), then by text hash.
+    """The columns of ``docs``, one row for each component: the first by id (null ids last), then by text hash."""
+    return first_of_each(docs, near_duplicates(docs, id_column, text_column), id_column, text_column)
+
+
+def first_of_each(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``found``: ``doc_id, text_hash, root`` for each row of ``docs``. The columns of ``docs``, the first row of each root.
 
     Rows that repeat both id and text are one document; any one of them stays.
     """
     staging = Staging(docs.sparkSession)
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    found = near_duplicates(docs, id_column, text_column)
     first = found.groupBy("root").agg(F.min(key).alias("k"), F.count("*").alias("n"))
     first = staging.put(first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"), F.col("n").alias("__n")), "first")
     same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__hash"))
