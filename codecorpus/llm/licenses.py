@@ -26,7 +26,8 @@ V = r"(?: (?:version|v))?"
 LIC = r"(?: (?:public )?licen[cs]e)"
 ONLY = r"(?: only| or(?: \(?at your option\)?)? any later version| or later)?"
 
-#: label, keyword, pattern of the name. Specific before general.
+#: label, keyword, pattern of the name. Specific before general. Every text that a pattern matches holds the keyword at
+#: the start of a word; an alternative without it is a family of its own.
 FAMILIES = [
     ("agpl-3.0", "affero", rf"(?:gnu )?affero general public licen[cs]e{V} v?3(?: 0)?{ONLY}"),
     ("agpl-3.0", "agpl", rf"(?:gnu )?agpl{V} ?v?3(?: 0)?{ONLY}"),
@@ -75,10 +76,12 @@ FAMILIES = [
     ("mit", "mit", rf"mit(?: x11)?{LIC}"),
     ("mit", "expat", rf"expat{LIC}"),
     ("x11", "x11", rf"x11{LIC}"),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|two clause bsd|freebsd)(?: licen[cs]e)?"),
+    ("bsd-2-clause", "bsd", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|two clause bsd)(?: licen[cs]e)?"),
+    ("bsd-2-clause", "freebsd", r"freebsd(?: licen[cs]e)?"),
     ("bsd-3-clause", "bsd", r"(?:(?:new|modified|revised) bsd|bsd 3 clause|3 clause bsd|three clause bsd)(?: licen[cs]e)?"),
     ("bsd-4-clause", "bsd", r"(?:original bsd|bsd 4 clause|4 clause bsd)(?: licen[cs]e)?"),
-    ("0bsd", "0bsd", r"0bsd|zero clause bsd"),
+    ("0bsd", "0bsd", r"0bsd"),
+    ("0bsd", "zero clause", r"zero clause bsd"),
     ("bsd", "bsd", rf"bsd(?: style)?{LIC}"),
     ("mpl-2.0", "mozilla", rf"mozilla public licen[cs]e{V} v?2(?: 0)?"),
     ("mpl-1.1", "mozilla", rf"mozilla public licen[cs]e{V} v?1 1"),
@@ -98,7 +101,8 @@ FAMILIES = [
     ("wtfpl", "wtfpl", r"wtfpl"),
     ("artistic-2.0", "artistic", r"artistic licen[cs]e(?: version)? 2(?: 0)?"),
     ("artistic", "artistic", r"artistic licen[cs]e"),
-    ("python", "python", r"python software foundation licen[cs]e|psf licen[cs]e"),
+    ("python", "python", r"python software foundation licen[cs]e"),
+    ("python", "psf", r"psf licen[cs]e"),
     ("php", "php", r"php licen[cs]e"),
     ("ruby", "ruby", r"ruby licen[cs]e"),
     ("ofl-1.1", "font", r"(?:sil )?open font licen[cs]e(?: version)?(?: 1 1)?"),
@@ -130,14 +134,15 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """All rules, higher priorities first, then in the order of the families."""
-    found = []
+    """All rules, higher priorities first, then in the order of the families; each pattern once."""
+    found: dict[tuple[str, str], Rule] = {}
     for priority, confidence, form in FORMS:
         for label, keyword, name in FAMILIES:
             tag = label.replace(".", " ").replace("-", " ") + ONLY
             inner = form.format(tag if priority == 3 else name)
-            found.append(Rule(label, "spdx" if priority == 3 else keyword, rf"(?<![^ ])(?:{inner})(?![^ ])", priority, confidence))
-    return found
+            rule = Rule(label, "spdx" if priority == 3 else keyword, rf"(?<![^ ])(?:{inner})(?![^ ])", priority, confidence)
+            found.setdefault((label, rule.pattern), rule)
+    return list(found.values())
 
 
 def spaced(text: Column) -> Column:
