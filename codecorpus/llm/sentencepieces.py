@@ -43,6 +43,8 @@ LONGEST_KEPT = 40
 #: Rows of one output batch: ids take more room than their text.
 ROWS_AT_ONCE = 128
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: For each further segmentation: place in the best ids, how many of them go, what stands there instead.
+FURTHER = pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("gone", pa.int32()), ("ids", pa.list_(pa.int32()))])))
 #: How much worse than the least piece a byte is.
 BYTE_PENALTY = 10.0
 
@@ -154,24 +156,42 @@ class Pieces:
                 del opened[n - len(found) :]
         return found
 
-    def _solve(self, part: str) -> tuple[tuple[int, ...], float, tuple[float, ...]]:
-        """Best ids, their score, and how much worse the next paths are."""
+    def _solve(self, part: str) -> tuple[tuple[int, ...], float, tuple[float, ...], tuple[tuple[int, ...], ...]]:
+        """Best ids, their score, how much worse the next paths are, and their ids."""
         found = self.paths(part)
-        return found[0][1], found[0][0], tuple(found[0][0] - s for s, _ in found[1:])
+        return found[0][1], found[0][0], tuple(found[0][0] - s for s, _ in found[1:]), tuple(ids for _, ids in found[1:])
 
     def encode(self, text: str | None) -> tuple[list[int], list[float]]:
         """Ids of the best segmentation, and the scores of the n best. Nothing for an empty text."""
+        return self.encode_all(text)[:2]
+
+    def encode_all(self, text: str | None) -> tuple[list[int], list[float], list[list[tuple[int, int, tuple[int, ...]]]]]:
+        """Ids of the best segmentation, the scores of the n best, and for each further one where it differs.
+
+        A difference is (place in the best ids, how many of them go, the ids that stand there instead), by place.
+        """
         if not text:
-            return [], []
+            return [], [], []
         solved = list(map(self.parts.__getitem__, self.split(" " + text)))
         ids = list(itertools.chain.from_iterable(map(itemgetter(0), solved)))
         total = sum(map(itemgetter(1), solved))
-        losses = [x for x in map(itemgetter(2), solved) if x]
+        losses = list(map(itemgetter(2), solved))
         # only the n - 1 parts whose second path loses least can differ among the n best
-        sums = [0.0]
-        for part in heapq.nsmallest(self.n_best - 1, losses):
-            sums = heapq.nsmallest(self.n_best, (a + b for a in sums for b in (0.0, *part)))
-        return ids, [total - x for x in sums]
+        ways: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
+        after: dict[tuple[float, ...], int] = {}
+        for part in heapq.nsmallest(self.n_best - 1, filter(None, losses)):
+            k = losses.index(part, after.get(part, 0))
+            after[part] = k + 1
+            ways = heapq.nsmallest(
+                self.n_best, ((a + b, way if j is None else (*way, (k, j))) for a, way in ways for j, b in ((None, 0.0), *enumerate(part))), key=itemgetter(0))
+        place = {k: sum(map(len, map(itemgetter(0), solved[:k]))) for k in {k for _, way in ways for k, _ in way}}
+        further = [[(place[k], len(solved[k][0]), solved[k][3][j]) for k, j in sorted(way)] for _, way in ways[1:]]
+        return ids, [total - x for x, _ in ways], further
+
+    def same_text(self, ids: list[int], changes: list[tuple[int, int, tuple[int, ...]]]) -> bool:
+        """Whether a further segmentation decodes to what the best ``ids`` decode to."""
+        joined = lambda x: b"".join(map(self.bytes_of.__getitem__, x))
+        return all(joined(ids[at : at + gone]) == joined(new) for at, gone, new in changes)
 
     def segmentations(self, text: str, n: int | None = None) -> list[tuple[float, list[int]]]:
         """The ``n`` best segmentations of a text with their ids, best first."""
@@ -187,6 +207,15 @@ class Pieces:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
+def replaced(ids: list[int], changes) -> list[int]:
+    """The ids of a further segmentation from those of the best one and its differences."""
+    found, seen = [], 0
+    for at, gone, new in changes:
+        found += [*ids[seen:at], *new]
+        seen = at + gone
+    return found + list(ids[seen:])
+
+
 @functools.lru_cache(maxsize=2)
 def load(path: str = MODEL, n_best: int = N_BEST) -> Pieces:
     """Once per worker."""
@@ -215,9 +244,10 @@ def decode(ids: Column, path: str = MODEL) -> Column:
 
 
 def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFrame:
-    """One row for each row of ``docs``: ``doc_id, ids, n_pieces, scores, exact``.
+    """One row for each row of ``docs``: ``doc_id, ids, n_pieces, scores, exact, further``.
 
-    ``scores``: of the n best segmentations, best first. ``exact``: decoding gives the text back (null counts as empty).
+    ``ids``: the best segmentation. ``scores``: of the n best, best first. ``further``: for each of the others its
+    differences from ``ids`` (``replaced`` makes the ids). ``exact``: decoding each of the n gives the text back (null counts as empty).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,19 +255,21 @@ def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFra
         for batch in batches:
             for at in range(0, len(batch), ROWS_AT_ONCE):
                 part = batch.slice(at, ROWS_AT_ONCE)
-                ids, scores, exact = [], [], []
+                ids, scores, exact, further = [], [], [], []
                 for text in part["text"]:
                     text = text.as_py()
-                    found, best = pieces.encode(text)
+                    found, best, others = pieces.encode_all(text)
                     ids.append(np.array(found, np.int32))
                     scores.append(best)
-                    exact.append(pieces.decode(found) == (text or ""))
+                    exact.append(pieces.decode(found) == (text or "") and all(pieces.same_text(found, x) for x in others))
+                    further.append([[{"at": at, "gone": gone, "ids": new} for at, gone, new in x] for x in others])
                 lengths = np.array(list(map(len, ids)), np.int64)
                 ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
                 yield pa.record_batch({
                     "doc_id": part["doc_id"], "ids": pa.ListArray.from_arrays(ends, np.concatenate(ids)), "n_pieces": lengths,
-                    "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact})
+                    "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact, "further": pa.array(further, FURTHER)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text")).mapInArrow(
-        run, f"doc_id {kind}, ids array<int>, n_pieces bigint, scores array<double>, exact boolean")
+        run, f"doc_id {kind}, ids array<int>, n_pieces bigint, scores array<double>, exact boolean, "
+        "further array<array<struct<at:int,gone:int,ids:array<int>>>>")
