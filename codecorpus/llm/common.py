@@ -13,13 +13,21 @@ from codecorpus.session import Staging
 #: digit and ASCII letter belongs to a word.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-__all__ = ["NOT_WORD", "Staging", "ascii_lower", "bounded_sample", "broadcast_below", "fraction_hash", "held_out", "table"]
+__all__ = ["NOT_WORD", "Staging", "ascii_lower", "bounded_sample", "broadcast_below", "fraction_hash", "fresh", "held_out", "table"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def fresh(columns: list[str], base: str) -> str:
+    """``base``, lengthened by underscores until no column of ``columns`` has that name (in any case)."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case; every other character stays."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)

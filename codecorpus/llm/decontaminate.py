@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codecorpus.llm.common import NOT_WORD, Staging, ascii_lower, broadcast_below
+from codecorpus.llm.common import NOT_WORD, Staging, ascii_lower, broadcast_below, fresh
 
 WINDOW = 10
 BROADCAST_BYTES = 16 << 20
@@ -152,6 +152,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 def clean_of(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` that hold no window of an item, with their columns."""
     staging = Staging(docs.sparkSession)
-    bad = staging.put(benchmark_hits(docs, items, size).select(F.col("doc").alias("__doc"), F.col("text_hash").alias("__hash")), "bad")
-    same = (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
+    doc_, hash_ = fresh(docs.columns, "__doc"), fresh(docs.columns, "__hash")
+    bad = staging.put(benchmark_hits(docs, items, size).select(F.col("doc").alias(doc_), F.col("text_hash").alias(hash_)), "bad")
+    same = (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)) == F.col(doc_)) & (F.xxhash64("text") == F.col(hash_))
     return docs.join(broadcast_below(bad, BROADCAST_BYTES), same, "left_anti")

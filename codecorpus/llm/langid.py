@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codecorpus.llm.common import bounded_sample, held_out
+from codecorpus.llm.common import bounded_sample, fresh, held_out
 
 DIMENSIONS = 1 << 12
 #: Training documents of each language that the centroids are fitted on, at most.
@@ -172,4 +172,5 @@ def languages(docs: DataFrame) -> DataFrame:
 
 def recognised(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their columns."""
-    return docs.withColumn("__lang", fit(training_rows(docs)).predict(F.col("text"))).filter("not __lang.rejected").drop("__lang")
+    x = fresh(docs.columns, "__lang")
+    return docs.withColumn(x, fit(training_rows(docs)).predict(F.col("text"))).filter(~F.col(x).rejected).drop(x)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codecorpus.llm.common import Staging
+from codecorpus.llm.common import Staging, fresh
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -258,9 +258,15 @@ def fingerprint_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The columns of ``docs``, one row for each component: the first by id (null ids last), then by text hash."""
-    return first_of_each(docs, near_duplicates(docs, id_column, text_column), id_column, text_column)
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """The columns of ``docs``, one row for each component: the first by id (null ids last), then by text hash.
+
+    Inner columns get names that no column of ``docs`` has. An empty table gives an empty table.
+    """
+    found = near_duplicates(docs, id_column, text_column, words=words, max_bits=max_bits)
+    return first_of_each(docs, found, id_column, text_column)
 
 
 def first_of_each(docs: DataFrame, found: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -269,11 +275,12 @@ def first_of_each(docs: DataFrame, found: DataFrame, id_column: str = "doc_id",
     Rows that repeat both id and text are one document; any one of them stays.
     """
     staging = Staging(docs.sparkSession)
+    id_, hash_, n_ = (fresh(docs.columns, f"__{x}") for x in ("id", "hash", "n"))
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     first = found.groupBy("root").agg(F.min(key).alias("k"), F.count("*").alias("n"))
-    first = staging.put(first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash"), F.col("n").alias("__n")), "first")
-    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text_column) == F.col("__hash"))
-    alone = docs.join(first.filter("__n = 1"), same, "left_semi")
-    grouped = docs.join(first.filter("__n > 1"), same, "left_semi")  # far fewer rows, so these alone are made unique
-    once = grouped.withColumns({"__id": F.col(id_column), "__hash": F.xxhash64(text_column)}).dropDuplicates(["__id", "__hash"])
-    return alone.unionByName(once.drop("__id", "__hash"))
+    first = staging.put(first.select(F.col("k.doc_id").alias(id_), F.col("k.text_hash").alias(hash_), F.col("n").alias(n_)), "first")
+    same = F.col(id_column).eqNullSafe(F.col(id_)) & (F.xxhash64(text_column) == F.col(hash_))
+    alone = docs.join(first.filter(F.col(n_) == 1), same, "left_semi")
+    grouped = docs.join(first.filter(F.col(n_) > 1), same, "left_semi")  # far fewer rows, so these alone are made unique
+    once = grouped.withColumns({id_: F.col(id_column), hash_: F.xxhash64(text_column)}).dropDuplicates([id_, hash_])
+    return alone.unionByName(once.drop(id_, hash_))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codecorpus.llm.common import Staging, bounded_sample
+from codecorpus.llm.common import Staging, bounded_sample, fresh
 
 #: Labelled rows that the chain is fitted on, at most, for each value of the last label.
 SAMPLE = 6000
@@ -182,4 +182,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def acceptable(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, with their columns."""
-    return docs.withColumn("__x", train(docs, labels).predict(F.col("text"))).filter("not __x.rejected").drop("__x")
+    x = fresh(docs.columns, "__x")
+    return docs.withColumn(x, train(docs, labels).predict(F.col("text"))).filter(~F.col(x).rejected).drop(x)

@@ -1,7 +1,7 @@
 import pytest
 
 #: Names that the operators use inside.
-CLASHING = "doc fp term pos bucket place key size item tokens text_hash part digest start rank clean own url_ a b u v m"
+CLASHING = "doc fp term pos bucket place key size item tokens text_hash part digest start rank clean own url_ a b u v m __id __hash __n __x __lang __doc"
 
 LONG = "lorem ipsum dolor sit amet " * 20_000
 
