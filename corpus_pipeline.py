@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codecorpus.llm import decontaminate, langid, near_copies, sentencepieces, toxicity
+from codecorpus.llm import decontaminate, langid, sentencepieces, simhash, toxicity
 from codecorpus.llm.common import Staging, table
 
 
@@ -24,8 +24,11 @@ def drop_unrecognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group stays. Linked are texts with a similarity of 0.8 or more over five-word shingles."""
-    return near_copies.one_of_each(docs)
+    """The SimHash operator with its own contract: four-word shingles, links at four or fewer differing bits.
+
+    The first document of each component stays (least id, null ids last, then text hash).
+    """
+    return simhash.one_of_each(docs, words=simhash.SHINGLE_WORDS, max_bits=simhash.MAX_BITS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +47,7 @@ STAGES = [
     ("encoding", encode),
 ]
 
-#: SQL has no classifiers, no XXH64 and no lattice search; the tests compare with brute force.
+#: SQL has no classifiers, no SimHash of XXH64 and no lattice search; the tests compare with brute force.
 ORACLE_SQL = None
 
 
