@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codecorpus.llm import decontaminate, fingerprints, langid, licenses, quality, sentencepieces, sharding, simhash, toxicity, url_rules
+from codecorpus.llm import decontaminate, fingerprints, langid, licenses, packing, quality, sentencepieces, sharding, simhash, toxicity, url_rules
 from codecorpus.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.verdicts(table(spark, sf_dir, "pages"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_fingerprints": op3_fingerprints,
@@ -62,4 +66,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op9_sentencepiece": op9_sentencepiece,
     "op6_url_rules": op6_url_rules,
+    "op13_packing": op13_packing,
 }
