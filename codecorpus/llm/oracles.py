@@ -1,6 +1,40 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 SQL: dict[str, str] = {
+    # all 1- to 3-word phrases of each piece counted, cuts by the lowest exact score, hidden pairs dropped
+    "op12_collocations": r"""
+with d as (
+  select coalesce(lang, 'und') as lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+  from documents
+), p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) as piece from d
+), w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p
+), pos as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from w where len(ws) > 0
+), g as (
+  select lang, 1 as n_words, ws[i] as phrase from pos
+  union all select lang, 2, ws[i] || ' ' || ws[i + 1] from pos where i + 1 <= len(ws)
+  union all select lang, 3, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] from pos where i + 2 <= len(ws)
+), cnt as (select lang, n_words, phrase, count(*) as f from g group by all
+), nn as (select lang, sum(f) as n from cnt where n_words = 1 group by lang
+), cand as (select lang, phrase, n_words, f as a, string_split(phrase, ' ') as w from cnt where n_words >= 2 and f >= 10
+), cuts as (
+  select c.lang, c.phrase, c.a, k.k, array_to_string(c.w[1:k.k], ' ') as lp, array_to_string(c.w[k.k + 1:], ' ') as rp
+  from cand c, (values (1), (2)) k(k) where k.k < c.n_words
+), sc as (
+  select cuts.lang, cuts.phrase, cuts.a, cuts.k, l.f as l, r.f as r,
+    cast((cast(cuts.a as hugeint) * cuts.a * 1000000) // (cast(l.f as hugeint) * r.f) as bigint) as score
+  from cuts join cnt l on l.lang = cuts.lang and l.phrase = cuts.lp join cnt r on r.lang = cuts.lang and r.phrase = cuts.rp
+), best as (select * from sc qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), hold as (
+  select lang, array_to_string(w[1:2], ' ') as phrase, a from cand where n_words = 3
+  union all select lang, array_to_string(w[2:3], ' '), a from cand where n_words = 3
+), kept as (
+  select * from best b where not exists (select 1 from hold h where h.lang = b.lang and h.phrase = b.phrase and 100 * h.a >= 50 * b.a)
+), ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select ranked.lang, cast(rank as bigint) as rank, phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r,
+  cast(n as bigint) as n, score
+from ranked join nn on nn.lang = ranked.lang where rank <= 2000
+""",
     # windows of ten words as lists, joined by value; a short item is one window
     "op8_decontamination": r"""
 with words as (
