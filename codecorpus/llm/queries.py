@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codecorpus.llm import collocations, decontaminate, fingerprints, langid, licenses, packing, quality, sentencepieces, sharding, simhash, toxicity, url_rules
+from codecorpus.llm import collocations, decontaminate, fingerprints, langid, licenses, packing, quality, sentencepieces, sharding, simhash, toxicity, url_rules, variants
 from codecorpus.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op9_sentencepiece": op9_sentencepiece,
     "op6_url_rules": op6_url_rules,
+    "op11_variants": op11_variants,
     "op12_collocations": op12_collocations,
     "op13_packing": op13_packing,
 }
