@@ -25,6 +25,7 @@ from codecorpus.functions.text import (
     to_numeric,
 )
 from codecorpus.operators import (
+    beam,
     bpe,
     caps,
     clean,
@@ -398,6 +399,30 @@ def q_predict_topk(spark, sf_dir):
     return model.candidate_rows(predicted).select("o_orderkey", "level", "rank", "predicted_if", "n")
 
 
+def q_beam_search(spark, sf_dir):
+    """Ten beams over the token model for every test row; ``is_correct``: the tokens equal the target's."""
+    train, test = _train_test(spark, sf_dir)
+    found = beam.beam_search(beam.fit_next_tokens(train), test, "o_orderkey")
+    want = test.select("o_orderkey", model.target_tokens(F.col("target_text")).alias("want"))
+    return found.join(want, "o_orderkey").select(
+        "o_orderkey", "rank", "predicted_if", F.round("score", 6).alias("score"),
+        (F.filter("tokens", lambda t: t != beam.END) == F.col("want")).alias("is_correct"),
+    )
+
+
+def q_beam_accuracy(spark, sf_dir):
+    """Share of test rows whose first beam, or whose first count-based candidate, has the target's tokens."""
+    train, test = _train_test(spark, sf_dir)
+    first = beam.beam_search(beam.fit_next_tokens(train), test, "o_orderkey").filter("rank = 1")
+    counted = model.best_prediction(model.predict_statements(model.fit_statement_model(train), test))
+    want = test.select("o_orderkey", model.target_tokens(F.col("target_text")).alias("want"))
+    beams = first.join(want, "o_orderkey").select((F.filter("tokens", lambda t: t != beam.END) == F.col("want")).cast("int").alias("ok"))
+    counts = counted.select((model.target_tokens(F.col("predicted_if")) == model.target_tokens(F.col("target_text"))).cast("int").alias("ok"))
+    return beams.agg(F.count("*").alias("rows"), F.round(F.avg("ok"), 4).alias("beam_accuracy")).crossJoin(
+        counts.agg(F.round(F.avg("ok"), 4).alias("topk_accuracy"))
+    )
+
+
 def q_token_perplexity(spark, sf_dir):
     train, test = _train_test(spark, sf_dir)
     scored = model.attach_perplexity(model.fit_token_counts(train), test)
