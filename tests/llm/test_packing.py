@@ -67,15 +67,27 @@ def test_query_equals_plain_encoding(spark, sf):
 
 def test_long_texts_are_encoded_in_parts_alike(monkeypatch):
     text = "Lorem ipsum, dolor  sit amet.\n  Ünïcode 12 345 words'll end   here " * 400
-    whole = packing.encode(TOK, text)
+    enc = packing.Encoder("tokenizers", packing.vocabulary_file("tokenizers"))
+    whole = packing.encode(enc, text)
     monkeypatch.setattr(packing, "CHUNK_CHARS", 50)
     parts = list(packing._chunks(text, 50))
     assert len(parts) > 100 and "".join(parts) == text
-    assert np.array_equal(np.concatenate([packing.encode(TOK, p)[:-1] for p in parts] + [np.array([0], "<u4")]), whole)
+    assert np.array_equal(np.concatenate([packing.encode(enc, p)[:-1] for p in parts] + [np.array([0], "<u4")]), whole)
+
+
+def test_both_libraries_give_the_same_ids(spark):
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["a<|endoftext|>b", " <|endoftext|> x", "漢字 ▁ ﬁ É\u0001x\u0000y 🎉", "it's 12,345.6 'll  \r\n", "   ", None]
+    fast = packing.Encoder("tiktoken", packing.vocabulary_file("tiktoken"))
+    plain = packing.Encoder("tokenizers", packing.vocabulary_file("tokenizers"))
+    assert all(np.array_equal(packing.encode(fast, t), packing.encode(plain, t)) for t in texts)
 
 
 def test_odd_rows(spark, odd_docs, odd_rows):
     pieces = packing.token_pieces(odd_docs)
+    assert sorted(map(tuple, packing.token_pieces(odd_docs, library="tokenizers").collect()), key=lambda r: tuple(-1 if x is None else x for x in r)) == sorted(
+        map(tuple, pieces.collect()), key=lambda r: tuple(-1 if x is None else x for x in r)
+    )
     key = lambda r: tuple(-1 if x is None else x for x in r)
     assert sorted(map(tuple, pieces.collect()), key=key) == sorted(plain_pieces([r[:2] for r in odd_rows]), key=key)
     found = packing.pack(pieces).collect()
