@@ -51,6 +51,18 @@ def test_first_line_containing_matches_a_scan(spark):
     assert got[None] == repos.UNKNOWN_URL
 
 
+def test_buckets_of_names_equal_one_automaton(spark):
+    rng = random.Random(8)
+    lines = ["".join(rng.choice("abc/.é") for _ in range(rng.randrange(15))) for _ in range(200)] + [None, ""]
+    names = sorted({"".join(rng.choice("abcé") for _ in range(rng.randrange(1, 5))) for _ in range(80)} | {""})
+    line_df = spark.createDataFrame(list(enumerate(lines)), "line_no bigint, line string")
+    files = spark.createDataFrame([(n,) for n in names], "repo_name string")
+    one = dict(values(repos.first_line_containing(files, line_df), "repo_name", "url"))
+    many = dict(values(repos.first_line_containing(files, line_df, most_bytes=500), "repo_name", "url"))
+    want = {n: next(x.strip() for x in lines if x is not None and n in x) for n in names if any(x is not None and n in x for x in lines)}
+    assert one == many == want
+
+
 def test_exact_lookup_and_first_owner(spark):
     lines = spark.createDataFrame(
         [(0, "# https://h/x/foo"), (1, " https://h/a/foobar "), (2, "https://h/b/foo.git"), (3, "https://h/c/foo")],
