@@ -46,8 +46,8 @@ LONGEST = 3
 
 #: Ids below this form the dense tile of each level.
 DENSE = 1024
-#: Words of a task counted together before their phrases are sent.
-BATCH_WORDS = 1 << 21
+#: Words of a task counted together before their phrases are sent; Spark's partial sum combines the batches of a task.
+BATCH_WORDS = 1 << 18
 
 COUNTS = "lang string, n_words int, phrase string, c long"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -83,8 +83,16 @@ def ranked(counts: np.ndarray) -> np.ndarray:
     return rank
 
 
-def count_batch(lang: str, pieces: list[list[str]]) -> Iterator[tuple[str, int, str, int]]:
-    """(lang, words, phrase, count) of the words and of the 2- and 3-word phrases of ``pieces``."""
+def _rows(lang: str, n_words: int, phrases: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * len(counts), pa.string()), pa.array(np.full(len(counts), n_words, np.int32)),
+         pa.array(phrases.tolist(), pa.string()), pa.array(counts.astype(np.int64))],
+        names=["lang", "n_words", "phrase", "c"],
+    )
+
+
+def count_batch(lang: str, pieces: list[list[str]]) -> Iterator[pa.RecordBatch]:
+    """Batches ``lang, n_words, phrase, c``: counts of the words and of the 2- and 3-word phrases of ``pieces``."""
     vocab: dict[str, int] = {}
     flat = [vocab.setdefault(w, len(vocab)) for p in pieces for w in p]
     if not flat:
@@ -92,21 +100,20 @@ def count_batch(lang: str, pieces: list[list[str]]) -> Iterator[tuple[str, int,
     names = np.array(list(vocab), dtype=object)
     piece = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
     local = np.asarray(flat, np.int64)
+    del flat
     word_counts = np.bincount(local, minlength=len(vocab))
     rank = ranked(word_counts)
     by_rank = np.empty_like(rank)
     by_rank[rank] = np.arange(len(rank))
     x = rank[local]
-    for k in np.flatnonzero(word_counts).tolist():
-        yield lang, 1, names[k], int(word_counts[k])
+    yield _rows(lang, 1, names, word_counts)
     width = len(vocab)
     joined = np.flatnonzero(piece[:-1] == piece[1:])  # position p: words p and p + 1 share a piece
     if not len(joined):
         return
     codes, counts = tile_count(x[joined], x[joined + 1], width)
     first, second = by_rank[codes // width], by_rank[codes % width]
-    for a, b, c in zip(names[first].tolist(), names[second].tolist(), counts.tolist(), strict=True):
-        yield lang, 2, f"{a} {b}", c
+    yield _rows(lang, 2, names[first] + " " + names[second], counts)
     # the pairs, ranked by count, are items of the next level
     pair_rank = ranked(counts)
     at = np.searchsorted(codes, x[joined] * width + x[joined + 1])
@@ -122,9 +129,7 @@ def count_batch(lang: str, pieces: list[list[str]]) -> Iterator[tuple[str, int,
     codes3, counts3 = tile_count(pair_of[three], x[three + 2], width3)
     lead = pairs_by_rank[codes3 // width3]
     third = by_rank[codes3 % width3]
-    heads = (names[first[lead]] + " " + names[second[lead]] + " " + names[third]).tolist()
-    for phrase, c in zip(heads, counts3.tolist(), strict=True):
-        yield lang, 3, phrase, c
+    yield _rows(lang, 3, names[first[lead]] + " " + names[second[lead]] + " " + names[third], counts3)
 
 
 def phrase_counts(docs: DataFrame, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
@@ -136,14 +141,9 @@ def phrase_counts(docs: DataFrame, text_column: str = "text", lang_column: str =
         size = 0
 
         def flush():
-            out = [r for lang, pieces in held.items() for r in count_batch(lang, pieces)]
+            for lang, pieces in held.items():
+                yield from count_batch(lang, pieces)
             held.clear()
-            if out:
-                lang, n, phrase, c = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lang, pa.string()), pa.array(n, pa.int32()), pa.array(phrase, pa.string()), pa.array(c, pa.int64())],
-                    names=["lang", "n_words", "phrase", "c"],
-                )
 
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

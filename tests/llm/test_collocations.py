@@ -24,7 +24,7 @@ def test_batch_counts_equal_plain_counts():
     for p in pieces:
         for k in (1, 2, 3):
             want.update((k, " ".join(p[i : i + k])) for i in range(len(p) - k + 1))
-    got = {(n, phrase): c for _, n, phrase, c in collocations.count_batch("en", pieces)}
+    got = {(r["n_words"], r["phrase"]): r["c"] for b in collocations.count_batch("en", pieces) for r in b.to_pylist()}
     assert got == dict(want)
 
 
