@@ -153,10 +153,31 @@ def _spaces(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
 
 
-def detections(clean: Column, known: list[Rule]) -> Column:
-    """All detections of the rules in a spaced text, ordered by start, longest first, higher priority first."""
+def _prefix(n: int):
+    return lambda w: F.substring(w, 1, n)
+
+
+def present_gates(clean: Column, known: list[Rule]) -> Column:
+    """The rules' gate words (first word of a keyword) that begin some word of the spaced text, found in one pass.
+
+    Every text that a rule matches holds its keyword at the start of a word, so a rule whose
+    gate is absent cannot match; glued forms such as ``gplv3`` begin with their gate too.
+    """
+    gates = sorted({x.keyword.split(" ")[0] for x in known})
+    words = F.split(clean, " ")
+    prefixes = F.flatten(F.array(*(F.transform(words, _prefix(n)) for n in sorted({len(g) for g in gates}))))
+    return F.array_intersect(prefixes, F.array(*map(F.lit, gates)))
+
+
+def detections(clean: Column, known: list[Rule], gates: Column) -> Column:
+    """All detections of the rules in a spaced text, ordered by start, longest first, higher priority first.
+
+    ``gates``: ``present_gates`` of the text, a column of its own (Spark would compute an expression
+    inside the rule loop once per rule). Only rules whose gate word is present are tried, so a text
+    meets the regexes of its own keywords alone.
+    """
     table = F.array(*(
-        F.struct(F.lit(x.keyword).alias("keyword"), F.lit(x.pattern).alias("pattern"), F.lit(x.label).alias("label"),
+        F.struct(F.lit(x.keyword.split(" ")[0]).alias("gate"), F.lit(x.pattern).alias("pattern"), F.lit(x.label).alias("label"),
                  F.lit(x.priority).alias("priority"), F.lit(x.confidence).alias("confidence"), F.lit(k).alias("rule"))
         for k, x in enumerate(known)))
 
@@ -168,7 +189,7 @@ def detections(clean: Column, known: list[Rule]) -> Column:
             s.alias("start"), (-e).alias("minus_end"), (-rule.priority).alias("minus_priority"), rule.rule.alias("rule"),
             rule.label.alias("label"), rule.confidence.alias("confidence")))
 
-    tried = F.filter(table, lambda r: (F.instr(clean, r.keyword) > 0) & F.regexp_like(clean, r.pattern))
+    tried = F.filter(table, lambda r: F.array_contains(gates, r.gate) & F.regexp_like(clean, r.pattern))
     return F.sort_array(F.flatten(F.transform(tried, spans)))
 
 
@@ -200,7 +221,9 @@ def license_spans(docs: DataFrame, known: list[Rule] | None = None, id_column: s
     known = known or rules()
     key = [F.col(id_column).alias("doc_id"), F.xxhash64(text_column).alias("text_hash")]
     clean = docs.select(*key, spaced(F.col(text_column)).alias("clean")).filter(keyword_filter(F.col("clean"), known))
-    rows = clean.select("doc_id", "text_hash", F.explode(detections(F.col("clean"), known)).alias("x")).select("doc_id", "text_hash", "x.*").distinct()
+    clean = clean.withColumn("gates", present_gates(F.col("clean"), known))
+    found = detections(F.col("clean"), known, F.col("gates"))
+    rows = clean.select("doc_id", "text_hash", F.explode(found).alias("x")).select("doc_id", "text_hash", "x.*").distinct()
     before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "minus_end", "minus_priority", "rule").rowsBetween(Window.unboundedPreceding, -1)
     reach = {k: F.max(F.when(F.col("minus_priority") <= -k, -F.col("minus_end"))).over(before) for k in (1, 2, 3)}
     covered = F.coalesce(F.when(F.col("minus_priority") == -1, reach[1]).when(F.col("minus_priority") == -2, reach[2]).otherwise(reach[3]), F.lit(-1))
@@ -216,13 +239,14 @@ def scan_licenses(docs: DataFrame, known: list[Rule] | None = None, id_column: s
     """
     known = known or rules()
     clean = docs.select(F.col(id_column).alias("doc_id"), spaced(F.col(text_column)).alias("clean"))
+    clean = clean.withColumn("gates", F.when(keyword_filter(F.col("clean"), known), present_gates(F.col("clean"), known)))
     n_words = F.when(F.col("clean") == "", 0).otherwise(_spaces(F.col("clean")) + 1).cast("bigint")
     has_base = F.col("clean").rlike(f"(?<![^ ])(?:{'|'.join(BASE)})(?![^ ])")
     # each word between two spaces of its own, so that phrases do not share one
     wide = F.when(has_base, F.concat(F.lit(" "), F.replace("clean", F.lit(" "), F.lit("  ")), F.lit(" ")))
     rows = clean.select(
         "doc_id", n_words.alias("n_words"), wide.alias("wide"),
-        F.when(keyword_filter(F.col("clean"), known), surviving(detections(F.col("clean"), known))).alias("own"))
+        F.when(F.col("gates").isNotNull(), surviving(detections(F.col("clean"), known, F.col("gates")))).alias("own"))
     counts, firsts, lasts, names = [], [], [], []
     for phrase, label in BASE.items():
         mark = f" {phrase.replace(' ', '  ')} "
