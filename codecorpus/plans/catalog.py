@@ -540,6 +540,22 @@ def q_loss_history(spark, sf_dir):
     return training_log.loss_summary(log).withColumn("_b", best).select("*", "_b.*").drop("_b")
 
 
+def q_loss_history_file(spark, sf_dir):
+    """The training log of ``loss_history`` written as state files and read back by the reader."""
+    evals = F.col("event_type") == "purchase"
+    log = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("step"),
+        (F.col("event_id") / 1000).alias("epoch"),
+        F.when(~evals, F.col("value")).alias("loss"),
+        F.when(evals, F.col("value")).alias("eval_loss"),
+    )
+    path = f"{Staging(spark).base}/trainer_state"
+    writers.write_loss_history(log, path)
+    read = readers.read_loss_history(spark, path)
+    best = training_log.best_checkpoint(read).select(F.struct("*")).scalar()
+    return training_log.loss_summary(read).withColumn("_b", best).select("*", "_b.*").drop("_b")
+
+
 def q_loss_by_epoch(spark, sf_dir):
     log = table(spark, sf_dir, "events").select((F.col("event_id") / 1000).alias("epoch"), F.col("value").alias("loss"))
     return training_log.loss_by_epoch(log).select("bucket", "entries", F.round("mean_loss", 4).alias("mean_loss"))

@@ -300,3 +300,6 @@ SQL = {
  UNION ALL SELECT 'best', predicted_if, 1::bigint, score FROM (SELECT * FROM rows ORDER BY score DESC, event_id LIMIT 10)
  UNION ALL SELECT 'histogram', bin::varchar, count(*), round(a + bin * w, 4) FROM b GROUP BY bin, a, w""",
 }
+
+# the same log, through state files and the reader
+SQL["loss_history_file"] = SQL["loss_history"]

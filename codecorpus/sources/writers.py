@@ -79,3 +79,23 @@ def write_results(df: DataFrame, path: str, format: str = "csv") -> None:
         _csv_writer(df, "overwrite").csv(path)
     else:
         df.write.mode("overwrite").format(format).save(path)
+
+
+def write_loss_history(log: DataFrame, path: str, entries_per_file: int = 50_000, mode: str = "overwrite") -> None:
+    """A training log as state files: one JSON document ``{"log_history": [...]}`` per file.
+
+    ``log`` has the columns of ``LOG_ENTRY`` (missing ones are null). Rows are dealt into
+    files of about ``entries_per_file`` entries by a hash of the step, and each file's
+    entries are ordered by step, so no task gathers more than one file's entries.
+    """
+    from codecorpus.sources.readers import LOG_ENTRY
+
+    rows = log.select(*(F.col(f.name).cast(f.dataType) if f.name in log.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in LOG_ENTRY))
+    files = max(1, -(-rows.count() // entries_per_file))
+    entry = F.struct(*(F.col(f.name) for f in LOG_ENTRY))
+    grouped = rows.groupBy(F.pmod(F.xxhash64("step"), F.lit(files)).alias("file")).agg(
+        F.array_sort(F.collect_list(entry), lambda a, b: F.when(a.step < b.step, -1).when(a.step > b.step, 1).otherwise(0)).alias("log_history")
+    )
+    # one document per folder ``file=k``: the reader takes each file as one JSON value
+    grouped.write.mode(mode).partitionBy("file").json(path)
+

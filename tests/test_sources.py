@@ -90,3 +90,15 @@ def test_loss_history(spark, tmp_path):
     path.write_text(json.dumps(log, indent=2))
     rows = readers.read_loss_history(spark, str(path)).collect()
     assert [(r.step, r.loss, r.eval_loss) for r in rows] == [(500, 7.5, None), (500, None, 1.5)]
+
+
+def test_loss_history_written_as_state_files_and_read_back(spark, tmp_path):
+    rows = [(s, s / 100, None if s % 7 == 0 else 1.0 / (s + 1), 0.5 - s / 1000 if s % 7 == 0 else None) for s in range(1, 300)]
+    log = spark.createDataFrame(rows, "step long, epoch double, loss double, eval_loss double")
+    path = str(tmp_path / "state")
+    writers.write_loss_history(log, path, entries_per_file=40)
+    files = [p for p in (tmp_path / "state").rglob("*.json")]
+    assert len(files) >= 5
+    back = readers.read_loss_history(spark, path)
+    assert values(back, "step", "epoch", "loss", "eval_loss") == sorted(rows)
+    assert back.filter("grad_norm IS NOT NULL OR learning_rate IS NOT NULL").count() == 0
