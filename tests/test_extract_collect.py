@@ -84,3 +84,18 @@ def test_whole_flow(spark, tmp_path):
     capped, counters = collect.collect_functions(spark, root, str(tmp_path / "urls.txt"), max_functions=2)
     assert capped.count() == 2 == counters.first().functions_written
     assert counters.first().files_scanned < 10
+
+
+def test_a_failing_segment_is_a_row_of_its_own(monkeypatch):
+    source = b"def good():\n    return 1\n\ndef bad():\n    return 2\n\ndef after():\n    return 3\n"
+    cut = extract._segment
+
+    def failing(lines, node):
+        if node.name == "bad":
+            raise UnicodeDecodeError("utf-8", b"\xff", 0, 1, "cut inside a character")
+        return cut(lines, node)
+
+    monkeypatch.setattr(extract, "_segment", failing)
+    rows = extract._file_rows("x/y.py", source)
+    assert [(r[2], r[3]) for r in rows] == [("parsed", None), ("function", "good"), ("segment_error", "bad"), ("function", "after")]
+    assert rows[2][7] is None and rows[3][7] == "def after():\n    return 3"
