@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -13,13 +15,31 @@ from codecorpus.session import Staging
 #: digit and ASCII letter belongs to a word.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-__all__ = ["NOT_WORD", "Staging", "ascii_lower", "bounded_sample", "broadcast_below", "fraction_hash", "fresh", "held_out", "table"]
+__all__ = [
+    "NOT_WORD", "Staging", "ascii_lower", "bounded_sample", "broadcast_below", "fraction_hash", "fresh", "held_out", "release_memory", "table",
+]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def release_memory() -> None:
+    """Give memory that this Python worker has freed back to the system.
+
+    Spark reuses Python workers for later tasks and stages; without this, a worker keeps
+    the peak of its largest batch while JVM-only stages run beside it.
+    """
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # not glibc: nothing to trim
+        pass
+
+
 def fresh(columns: list[str], base: str) -> str:
     """``base``, lengthened by underscores until no column of ``columns`` has that name (in any case)."""
     taken = {c.lower() for c in columns}

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codecorpus.llm.common import bounded_sample, fresh, held_out
+from codecorpus.llm.common import bounded_sample, fresh, held_out, release_memory
 
 DIMENSIONS = 1 << 12
 #: Training documents of each language that the centroids are fitted on, at most.
@@ -101,6 +101,7 @@ def document_frequencies(docs: DataFrame, text_column: str) -> tuple[np.ndarray,
                 if counts is not None:
                     found[:-1] += counts > 0
                     found[-1] += 1
+        release_memory()
         yield pa.record_batch({"place": np.arange(DIMENSIONS + 1), "n": found})
 
     sums = docs.select(F.col(text_column).alias("text")).mapInArrow(count, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
@@ -133,6 +134,7 @@ class Model:
                 cutoff = self.cutoffs[best] if self.languages else np.zeros(len(rows))
                 names = [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
                 parts.append(pd.DataFrame({"lang": names, "score": score, "rejected": ~known | (score < cutoff)}))
+            release_memory()
             return pd.concat(parts) if parts else pd.DataFrame({"lang": [], "score": [], "rejected": []})
 
         return of(text)

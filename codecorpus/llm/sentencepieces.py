@@ -35,6 +35,8 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from codecorpus.llm.common import release_memory
+
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 N_BEST = 3
 #: Parts that a worker keeps, at most, and the longest part that is kept.
@@ -252,22 +254,27 @@ def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path, n_best)
-        for batch in batches:
-            for at in range(0, len(batch), ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                ids, scores, exact, further = [], [], [], []
-                for text in part["text"]:
-                    text = text.as_py()
-                    found, best, others = pieces.encode_all(text)
-                    ids.append(np.array(found, np.int32))
-                    scores.append(best)
-                    exact.append(pieces.decode(found) == (text or "") and all(pieces.same_text(found, x) for x in others))
-                    further.append([[{"at": at, "gone": gone, "ids": new} for at, gone, new in x] for x in others])
-                lengths = np.array(list(map(len, ids)), np.int64)
-                ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                yield pa.record_batch({
-                    "doc_id": part["doc_id"], "ids": pa.ListArray.from_arrays(ends, np.concatenate(ids)), "n_pieces": lengths,
-                    "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact, "further": pa.array(further, FURTHER)})
+        try:
+            for batch in batches:
+                for at in range(0, len(batch), ROWS_AT_ONCE):
+                    part = batch.slice(at, ROWS_AT_ONCE)
+                    ids, scores, exact, further = [], [], [], []
+                    for text in part["text"]:
+                        text = text.as_py()
+                        found, best, others = pieces.encode_all(text)
+                        ids.append(np.array(found, np.int32))
+                        scores.append(best)
+                        exact.append(pieces.decode(found) == (text or "") and all(pieces.same_text(found, x) for x in others))
+                        further.append([[{"at": at, "gone": gone, "ids": new} for at, gone, new in x] for x in others])
+                    lengths = np.array(list(map(len, ids)), np.int64)
+                    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+                    yield pa.record_batch({
+                        "doc_id": part["doc_id"], "ids": pa.ListArray.from_arrays(ends, np.concatenate(ids)), "n_pieces": lengths,
+                        "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact, "further": pa.array(further, FURTHER)})
+        finally:  # solved parts stay for one task only: a reused worker does not carry them into later stages
+            pieces.parts.clear()
+            pieces.parts.old = {}
+            release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text")).mapInArrow(

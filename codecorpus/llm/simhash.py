@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codecorpus.llm.common import Staging, fresh
+from codecorpus.llm.common import Staging, fresh, release_memory
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -76,6 +76,7 @@ def fingerprint(text: Column, words: int = SHINGLE_WORDS) -> Column:
     @F.pandas_udf("bigint")
     def of(texts: pd.Series) -> pd.Series:
         found = np.fromiter((fingerprint_of(t, words) for t in texts), np.uint64, len(texts))
+        release_memory()
         return pd.Series(found.view(np.int64))
 
     return of(text.cast("binary"))
@@ -203,6 +204,8 @@ def links(codes: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = CELL_ROWS
             if len(member):
                 back = lambda x, s=shift: ((x >> s) | (x << (np.uint64(64) - s)) if s else x).view(np.int64)
                 yield pa.record_batch({"a": back(tree.codes[member]), "b": back(tree.codes[root[member]])})
+        del fp, turn, value, cell, got
+        release_memory()
 
     return cells.repartition("turn", "value", "cell").mapInArrow(stars, "a bigint, b bigint")
 

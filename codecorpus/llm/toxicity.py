@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from codecorpus.llm.common import Staging, bounded_sample, fresh
+from codecorpus.llm.common import Staging, bounded_sample, fresh, release_memory
 
 #: Labelled rows that the chain is fitted on, at most, for each value of the last label.
 SAMPLE = 6000
@@ -73,7 +73,9 @@ def select_features(rows: DataFrame, least_z: float = LEAST_Z, most: int = MAX_F
 
     @F.pandas_udf("array<string>")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(features_of(t)) for t in texts], dtype=object)
+        found = pd.Series([sorted(features_of(t)) for t in texts], dtype=object)
+        release_memory()
+        return found
 
     ones, n = (x or 0 for x in rows.agg(F.sum("label"), F.count("*")).first())
     counts = rows.select("label", F.explode(of(F.col("text"))).alias("feature")).groupBy("feature").agg(
@@ -112,6 +114,7 @@ class Chain:
         @F.pandas_udf(f"{fields}, rejected boolean")
         def of(texts: pd.Series) -> pd.DataFrame:
             found = pd.DataFrame(self.probabilities(texts.tolist()), columns=self.categories)
+            release_memory()
             return found.assign(rejected=found[self.categories[-1]] >= self.threshold)
 
         return of(text)
@@ -161,7 +164,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
 
     @F.pandas_udf("array<int>")
     def places(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.array(sorted(place[f] for f in features_of(t) if f in place), np.int32) for t in texts], dtype=object)
+        found = pd.Series([np.array(sorted(place[f] for f in features_of(t) if f in place), np.int32) for t in texts], dtype=object)
+        release_memory()
+        return found
 
     fold = F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold")
     got = rows.select("doc_id", fold, *CHAIN, places(F.col("text")).alias("at")).toPandas().sort_values("doc_id", kind="stable")
