@@ -133,8 +133,12 @@ def near_pairs(words: DataFrame, staging: Staging) -> DataFrame:
     prefix = staging.put(ranked.filter(F.col("r") <= F.col("rank_in")).select("word", "n_len", "token"), "prefix")
     left = prefix.select(F.col("word").alias("a"), "n_len", "token")
     right = prefix.select(F.col("word").alias("b"), F.explode(F.array(F.col("n_len"), F.col("n_len") - 1)).alias("n_len"), "token")
-    pairs = left.join(right, ["token", "n_len"]).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return pairs.filter(F.levenshtein("a", "b", 1) == 1)
+    # each candidate is verified where the join makes it, so only true pairs reach the shuffle of the distinct;
+    # words of equal length meet from both sides, and the smaller one's side is kept
+    found = left.join(right, ["token", "n_len"]).filter(
+        ((F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1)
+    )
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def variants(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
