@@ -14,8 +14,9 @@ Candidates by a variable-length gram index (VGRAM):
 2. Decomposition: the gram at position i is ``w[i:i+2]``, or ``w[i:i+3]`` if that
    2-gram is frequent and a letter follows. The gram depends on the letters it
    covers and, where the word's end stopped it, on that end.
-3. Affected grams: an edit at position p (substitution, deletion, or insertion
-   before p) can change only the grams at i with ``i <= p <= i + len``. NAG, their
+3. Affected grams: a substitution or deletion at p changes only the grams at i with
+   ``i <= p < i + len``, an insertion only those it falls inside, or at the word's end
+   those that reach it. NAG, their
    largest number over p, bounds what one edit destroys, so two words one edit apart
    share at least ``|G(w)| - NAG(w)`` grams as multisets. With grams of at most 3
    letters and words of at least 6, that bound is at least 1 for every word.
@@ -91,15 +92,27 @@ def decompose(word: str, frequent: set[str]) -> list[str]:
 
 
 def affected(grams: list[str], length: int) -> int:
-    """NAG: the most grams that one edit can change; gram i covers edit positions i to i + len(gram)."""
-    cover = [0] * (length + 2)
+    """NAG: the most grams that one edit can change.
+
+    The gram at i of L letters depends on those letters and, where the word's end stopped
+    it, on that end. A substitution or deletion at p changes it if ``i <= p < i + L``; an
+    insertion before p if ``i < p < i + L``, or at the end (p = length) if the gram reaches it.
+    """
+    remove = [0] * (length + 1)
+    insert = [0] * (length + 1)
+    at_end = 0
     for i, g in enumerate(grams):
-        cover[i] += 1
-        cover[i + len(g) + 1] -= 1
-    most, run = 0, 0
-    for c in cover[: length + 1]:
-        run += c
-        most = max(most, run)
+        remove[i] += 1
+        remove[i + len(g)] -= 1
+        if len(g) > 1:
+            insert[i + 1] += 1
+            insert[i + len(g)] -= 1
+        at_end += i + len(g) == length
+    most, run_remove, run_insert = at_end, 0, 0
+    for p in range(length):
+        run_remove += remove[p]
+        run_insert += insert[p]
+        most = max(most, run_remove, run_insert)
     return most
 
 

@@ -54,8 +54,10 @@ def test_affected_bounds_the_grams_that_one_edit_changes():
     rng = random.Random(1)
     letters = "abcdé"
     frequent = {a + b for a in letters for b in letters if rng.random() < 0.5}
-    for _ in range(2000):
-        w = "".join(rng.choice(letters) for _ in range(rng.randint(6, 12)))
+    for _ in range(40000):
+        if rng.random() < 0.01:
+            frequent = {a + b for a in letters for b in letters if rng.random() < rng.random()}
+        w = "".join(rng.choice(letters[: rng.randint(2, 5)]) for _ in range(rng.randint(6, 12)))
         p = rng.randrange(len(w) + 1)
         c = rng.choice(letters)
         r = rng.choice([w[:p] + c + w[p:], w[:p] + w[p + 1 :], w[:p] + c + w[p + 1 :]])
