@@ -1,6 +1,5 @@
 import itertools
 
-import corpus_pipeline
 from codecorpus.llm import near_copies
 from tests.llm.test_simhash import near_copies as copies
 
@@ -30,7 +29,7 @@ def test_stage_equals_jaccard_of_all_pairs(spark, sf):
     tables = spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()
     texts = [*made, *(r.text or "" for r in tables), "", " \t", "one two", "One  two", "one two three"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, sf).collect()}
+    kept = {r.doc_id for r in near_copies.one_of_each(docs).collect()}
     want = plain_roots(texts)
     assert kept == set(want) and len(kept) < len(texts)
     groups = {}
