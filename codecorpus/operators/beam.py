@@ -7,20 +7,25 @@ bigram counts of all targets (add-one smoothed):
 Targets end with ``END``. Only the ``k`` likeliest next tokens of each (line, prev) and
 of each prev are kept, so a step never expands a hypothesis by more than ``k`` tokens.
 
+What is decoded depends on the line before the hidden statement alone, so each distinct
+line is decoded once and its hypotheses are then attached to the rows.
+
 Decoding is a loop of Spark steps over a frontier table (one row per hypothesis):
 live hypotheses join the next-token lists of their context (or of their previous
 token alone where the context is unknown), grow by one token, and the ``k`` best of
-each row by length-normalised log-probability stay, finished ones included. The
+each line by length-normalised log-probability stay, finished ones included. The
 frontier is staged each step, so lineage stays short and a lost executor costs one
-step. Decoding ends when the ``k`` best of every row are finished or at ``max_tokens``.
+step. Decoding ends when the ``k`` best of every line are finished or at ``max_tokens``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from codecorpus.operators.lookup import lookup_join
+from codecorpus.operators.lookup import BROADCAST_ROWS, fits_broadcast, lookup_join
 from codecorpus.operators.model import START, context, target_tokens
 from codecorpus.session import Staging
 
@@ -77,27 +82,30 @@ def beam_search(
     """``key, rank, tokens, predicted_if, logp, score``: the ``k`` best hypotheses of each row of ``df``.
 
     ``tokens`` end with ``END`` where the hypothesis finished; ``predicted_if`` joins the
-    others with spaces. Rows are told apart by an id of their own, so repeated or null keys
-    are decoded each on their own. An empty ``df`` or empty ``lists`` give no rows.
+    others with spaces. Every row gets its line's hypotheses, rows of a repeated or null key
+    too. An empty ``df`` or empty ``lists`` give no rows.
     """
     staging = Staging(df.sparkSession)
-    rows = staging.put(context(df, text).select(key, F.col("prev_line").alias("line")), "beam_rows")
-    rows = rows.withColumn("_beam_row", F.monotonically_increasing_id())
+    # null has a name of its own, so that it can be joined; every other line begins with "="
+    named = F.when(F.col("prev_line").isNotNull(), F.concat(F.lit("="), F.col("prev_line"))).otherwise("")
+    rows = staging.put(context(df, text).select(key, named.alias("_line")), "beam_rows")
     lists = staging.put(lists, "beam_lists")
-    in_context = lists.filter(F.col("line").isNotNull()).select("line", F.col("prev").alias("last"), F.col("cands").alias("_c"))
+    in_context = lists.filter(F.col("line").isNotNull()).select(F.concat(F.lit("="), "line").alias("_line"), F.col("prev").alias("last"), F.col("cands").alias("_c"))
     anywhere = lists.filter(F.col("line").isNull()).select(F.col("prev").alias("last"), F.col("cands").alias("_g"))
+    next_of = [_lookup(staging, in_context, ["_line", "last"], "beam_context"), _lookup(staging, anywhere, ["last"], "beam_anywhere")]
     frontier = staging.put(
-        rows.select("_beam_row", key, "line", F.array().cast("array<string>").alias("tokens"), F.lit(START).alias("last"),
-                    F.lit(0.0).alias("logp"), F.lit(False).alias("done")),
+        rows.select("_line").distinct().select("_line", F.array().cast("array<string>").alias("tokens"), F.lit(START).alias("last"),
+                                               F.lit(0.0).alias("logp"), F.lit(False).alias("done")),
         "beam0",
     )
     # scores equal to 12 places tie, whatever order their sums were added in; then the tokens decide
-    order = Window.partitionBy("_beam_row").orderBy(F.round("score", 12).desc(), F.array_join("tokens", " "))
+    order = Window.partitionBy("_line").orderBy(F.round("score", 12).desc(), F.array_join("tokens", " "))
     for step in range(max_tokens):
-        live = frontier.filter(~F.col("done"))
-        grown = lookup_join(lookup_join(live, in_context, ["line", "last"], staged=True), anywhere, ["last"], staged=True)
+        grown = frontier.filter(~F.col("done"))
+        for attach in next_of:
+            grown = attach(grown)
         grown = grown.select("*", F.explode(F.coalesce("_c", "_g", F.array().cast(CANDIDATES))).alias("x")).select(
-            "_beam_row", key, "line", F.concat("tokens", F.array("x.cur")).alias("tokens"), F.col("x.cur").alias("last"),
+            "_line", F.concat("tokens", F.array("x.cur")).alias("tokens"), F.col("x.cur").alias("last"),
             (F.col("logp") + F.col("x.logp")).alias("logp"), ((F.col("x.cur") == END) | (F.size("tokens") + 1 >= max_tokens)).alias("done"),
         )
         pool = frontier.filter("done").unionByName(grown)
@@ -107,7 +115,25 @@ def beam_search(
         if frontier.filter(~F.col("done")).isEmpty():
             break
     scored = frontier.withColumn("score", F.col("logp") / F.pow(F.greatest(F.size("tokens"), F.lit(1)), LENGTH_PENALTY))
-    words = F.filter("tokens", lambda t: t != END)
-    return scored.select(
-        key, F.row_number().over(order).alias("rank"), "tokens", F.array_join(words, " ").alias("predicted_if"), "logp", "score"
+    best = scored.select("_line", F.struct(F.row_number().over(order).alias("rank"), "tokens", "logp", "score").alias("b"))
+    best = staging.put(best.groupBy("_line").agg(F.sort_array(F.collect_list("b")).alias("_beams")), "beams")
+    words = F.filter("b.tokens", lambda t: t != END)
+    return lookup_join(rows, best, ["_line"], staged=True).select(key, F.explode("_beams").alias("b")).select(
+        key, "b.rank", "b.tokens", F.array_join(words, " ").alias("predicted_if"), "b.logp", "b.score"
     )
+
+
+def _lookup(staging: Staging, table: DataFrame, on: list[str], name: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that attaches the lists of ``table`` to a staged frontier.
+
+    A table of a checked size is broadcast, checked once. Of a larger one each step takes only
+    the lists that its hypotheses ask for, so the lists of all contexts are never shuffled.
+    """
+    if fits_broadcast(table, BROADCAST_ROWS):
+        return lambda live: live.join(F.broadcast(table), on, "left")
+
+    def attach(live: DataFrame) -> DataFrame:
+        asked = staging.put(live.select(*on).distinct(), f"{name}_asked")
+        return lookup_join(live, staging.put(table.join(asked, on), f"{name}_near"), on, staged=True)
+
+    return attach

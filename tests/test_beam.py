@@ -108,3 +108,24 @@ def test_query(spark, sf):
     assert found and max(r.rank for r in found) <= 10
     acc = catalog.q_beam_accuracy(spark, sf).first()
     assert acc.rows > 0 and 0 <= acc.beam_accuracy <= 1
+
+
+def test_each_distinct_line_is_decoded_once(spark, monkeypatch):
+    """The frontier holds hypotheses of lines, not of rows; every row still gets its line's hypotheses."""
+    train, _ = rows_for(spark, ["if x > 0 :", "if y :", "if x :"], ["x"])
+    texts = ["def g():\n    x = 1\n    " + MASK, "def g():\n    z = 2\n    " + MASK, None]
+    test = spark.createDataFrame([(i % 7 or None, texts[i % 3]) for i in range(60)], "o_orderkey long, input_text string")
+    sizes, put = [], beam.Staging.put
+
+    def counted(self, df, name):
+        out = put(self, df, name)
+        if name.startswith("beam") and name[4:].isdigit():
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(beam.Staging, "put", counted)
+    for rows in (beam.BROADCAST_ROWS, 0):  # lists broadcast, or asked for step by step
+        monkeypatch.setattr(beam, "BROADCAST_ROWS", rows)
+        found = beam.beam_search(beam.fit_next_tokens(train, k=3), test, "o_orderkey", k=3, max_tokens=6).collect()
+        assert max(sizes) <= 3 * len(texts)
+        assert len(found) == 3 * 60 and sorted(r.rank for r in found) == sorted([1, 2, 3] * 60)
