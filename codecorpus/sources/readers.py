@@ -16,6 +16,8 @@ from codecorpus.functions.text import require_columns
 NULL_MARKER = "\u0000null\u0000"
 
 MAX_LIST_FILES = 100
+#: Bytes of file contents that a task holds before it hands them on.
+FRAME_BYTES = 16 << 20
 
 FUNCTION_SCHEMA = T.StructType(
     [
@@ -114,23 +116,61 @@ def list_files(spark: SparkSession, root: str, suffix: str) -> list[tuple[str]]:
 
 def _read_whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        contents = []
+        paths, contents, held = [], [], 0
         for uri in frame["path"]:
             system, name = fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
             with system.open_input_stream(name) as stream:
                 contents.append(stream.read())
-        yield pd.DataFrame({"path": frame["path"], "content": contents})
+            paths.append(uri)
+            held += len(contents[-1])
+            if held >= FRAME_BYTES:
+                yield pd.DataFrame({"path": paths, "content": contents})
+                paths, contents, held = [], [], 0
+        if paths:
+            yield pd.DataFrame({"path": paths, "content": contents})
+
+
+def _list_below(suffix: str):
+    """Paths of the files below folders of a mounted file system; a path that is no folder is itself listed."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system = fs.LocalFileSystem()
+        for frame in frames:
+            for top in frame["path"]:
+                if system.get_file_info(top).type == fs.FileType.Directory:
+                    below = system.get_file_info(fs.FileSelector(top, recursive=True))
+                else:
+                    below = [system.get_file_info(top)]
+                yield pd.DataFrame({"path": [f.path for f in below if f.type == fs.FileType.File and f.path.endswith(suffix)]}, dtype=object)
+
+    return run
+
+
+def _mounted_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """``path, content`` of a tree on a mounted file system. The driver lists the first level alone;
+    tasks list what is below, and the paths are dealt out before the files are read."""
+    tops = [(f.path,) for f in fs.LocalFileSystem().get_file_info(fs.FileSelector(folder))]
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    listed = spark.createDataFrame(tops, "path string").repartition(tasks).mapInPandas(_list_below(suffix), "path string")
+    return listed.repartition(tasks, "path").mapInPandas(_read_whole, "path string, content binary")
 
 
 def read_source_files(spark: SparkSession, root: str, suffix: str = ".py") -> DataFrame:
     """``path, content``: paths relative to ``root``, content as bytes.
 
-    The scan packs files by size, which is also the cost of parsing them, so the
+    A tree on a file system that is mounted everywhere is listed and read by tasks.
+    Elsewhere, the scan packs files by size, which is also the cost of parsing them, so the
     content is not shuffled again. Spark's scans leave out files of zero bytes
     and names that begin with ``_`` or ``.``, such as ``__init__.py``: whatever a
     listing has and the scan has not is read in tasks of its own.
     """
     root = root.rstrip("/")
+    # The scan gives full URIs; the folder may be written with or without scheme.
+    folder = root.split("://", 1)[-1] if "://" in root else root
+    folder = folder.removeprefix("file:")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() == "file":
+        return _below(_mounted_files(spark, folder, suffix), folder)
     scan = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -143,9 +183,11 @@ def read_source_files(spark: SparkSession, root: str, suffix: str = ".py") -> Da
     rest = listed.select(plain(F.col("path")).alias("path")).join(seen, "path", "left_anti")
     files = scan.select(plain(F.col("path")).alias("path"), "content").unionByName(
         rest.mapInPandas(_read_whole, "path string, content binary"))
-    # The scan gives full URIs; the folder may be written with or without scheme.
-    folder = root.split("://", 1)[-1] if "://" in root else root
-    folder = folder.removeprefix("file:")
+    return _below(files, folder)
+
+
+def _below(files: DataFrame, folder: str) -> DataFrame:
+    """Paths relative to the folder."""
     start = F.locate(folder + "/", F.col("path")) + len(folder) + 1
     return files.select(F.col("path").substr(start, F.length("path")).alias("path"), "content")
 
