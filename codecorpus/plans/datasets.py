@@ -25,9 +25,13 @@ def pretrain_table(
         place = F.concat_ws("-", F.col(key).cast("string"), F.col("window").cast("string"))
         masked = masking.mask_tokens(ids.withColumn("_place", place), "_place", vocab_size=len(vocab.tokens), mask_id=bpe.MASK_ID, seed=seed)
         return masked.select(key, "window", "input_ids", "labels", F.col(code).alias("original_code_snippet"))
-    ids = bpe.encode(rows, vocab, code, "input_ids", seq_len)
+    # pads are never drawn, so they are put behind the masked ids
+    ids = bpe.encode(rows, vocab, code, "input_ids", seq_len, pad=False)
     masked = masking.mask_tokens(ids, key, vocab_size=len(vocab.tokens), mask_id=bpe.MASK_ID, seed=seed)
-    return masked.select(key, "input_ids", "labels", F.col(code).alias("original_code_snippet"))
+    return masked.select(
+        key, bpe.fit_length(F.col("input_ids"), seq_len, True, False).alias("input_ids"),
+        bpe.fit_length(F.col("labels"), seq_len, True, False, masking.UNSCORED).alias("labels"), F.col(code).alias("original_code_snippet"),
+    )
 
 
 def cut_texts(funcs: DataFrame, vocab: bpe.Vocabulary, seq_len: int = bpe.MAX_LENGTH, code: str = "original_code") -> DataFrame:

@@ -98,3 +98,23 @@ def test_finetune_table(spark):
     assert sorted(r.k for r in table.select("k").collect()) == list(range(1, 41, 2))
     sizes = {r.split: r.rows for r in splits.split_sizes(table).collect()}
     assert sizes == {"train": 16, "val": 2, "test": 2}
+
+
+def test_pads_are_put_behind_the_masked_ids(spark, monkeypatch):
+    """Masking sees the ids of the text, not 512 places; the rows are those of masking padded ids."""
+    from codecorpus.operators import bpe, masking
+    from codecorpus.plans import datasets
+
+    rows = spark.createDataFrame([(1, "if a: b"), (2, ""), (3, "c " * 30)], "k long, original_code string")
+    vocab = bpe.learn_merges(rows, "original_code", vocab_size=12)
+    padded = masking.mask_tokens(bpe.encode(rows, vocab, "original_code", "input_ids", 16), "k", vocab_size=len(vocab.tokens), mask_id=bpe.MASK_ID)
+    want = {r.k: (r.input_ids, r.labels) for r in padded.collect()}
+    sizes, mask = [], masking.mask_tokens
+
+    def seen(df, *args, **kwargs):
+        sizes.extend(len(r.input_ids) for r in df.collect())
+        return mask(df, *args, **kwargs)
+
+    monkeypatch.setattr(masking, "mask_tokens", seen)
+    got = {r.k: (r.input_ids, r.labels) for r in datasets.pretrain_table(rows, vocab, "k", seq_len=16).collect()}
+    assert got == want and sorted(sizes)[:2] == [0, 7]
