@@ -605,7 +605,9 @@ def q_pretrain_csv(spark, sf_dir):
 def q_splits_written(spark, sf_dir):
     """Fine-tuning parts written to one folder each, then read back."""
     path = f"{Staging(spark).base}/splits"
-    masked = splits.split_dataset(_masked_code(spark, sf_dir), "o_orderkey", SEED)
+    # stored once: the exact split reads its keys several times, the statements are searched once
+    pairs = Staging(spark).put(_masked_code(spark, sf_dir).select("o_orderkey", "target_text"), "pairs")
+    masked = splits.split_dataset(pairs, "o_orderkey", SEED)
     writers.write_splits(masked.select("o_orderkey", "target_text", "split"), path)
     return spark.read.parquet(path).select("o_orderkey", "target_text", F.col("split").cast("string").alias("split"))
 

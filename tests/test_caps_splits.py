@@ -82,3 +82,19 @@ def test_null_and_repeated_keys_are_errors(spark):
         caps.nth_key(same, ["k"], 50, small=10, sample=10)
     with pytest.raises(ValueError, match="repeat"):
         caps.head(spark.createDataFrame([(1,), (2,), (2,)], "k int"), 2, ["k"])
+
+
+def test_written_splits_search_statements_once(spark, sf, monkeypatch):
+    from codecorpus.plans import catalog
+    from codecorpus.session import Staging
+
+    staged, put = [], Staging.put
+    monkeypatch.setattr(Staging, "put", lambda self, df, name: staged.append(name) or put(self, df, name))
+    split = catalog.splits.split_dataset
+
+    def no_search(df, *args, **kwargs):
+        assert "Generate" not in df._jdf.queryExecution().optimizedPlan().toString()
+        return split(df, *args, **kwargs)
+
+    monkeypatch.setattr(catalog.splits, "split_dataset", no_search)
+    assert catalog.q_splits_written(spark, sf).count() > 0 and staged == ["pairs"]
