@@ -10,6 +10,7 @@ import ast
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from codecorpus.functions.text import code_tokens, default_end_line, relative_path, repo_from_path, signature
@@ -19,7 +20,13 @@ PARSED_SCHEMA = (
     "path string, seq int, status string, function_name string, start_line int, end_line int, "
     "is_async boolean, original_code string"
 )
+PARSED_TYPES = {
+    "path": pa.string(), "seq": pa.int32(), "status": pa.string(), "function_name": pa.string(), "start_line": pa.int32(),
+    "end_line": pa.int32(), "is_async": pa.bool_(), "original_code": pa.string(),
+}
 ROWS_PER_FRAME = 2_000
+#: The fields in which statements hold statements, the last one in a node first.
+BLOCKS = ("cases", "finalbody", "orelse", "handlers", "body")
 
 
 def decode_source(content: bytes) -> str:
@@ -28,13 +35,15 @@ def decode_source(content: bytes) -> str:
 
 
 def _definitions(tree: ast.AST) -> Iterator[ast.AST]:
-    """Definitions at any depth, parents before what they hold."""
+    """Definitions at any depth, parents before what they hold. Only statements hold them, so no expression is visited."""
     waiting = [tree]
     while waiting:
         node = waiting.pop()
         if isinstance(node, (ast.FunctionDef, ast.AsyncFunctionDef)):
             yield node
-        waiting.extend(reversed(list(ast.iter_child_nodes(node))))
+        for name in BLOCKS:
+            if name in node._fields:
+                waiting.extend(reversed(getattr(node, name)))
 
 
 def _segment(lines: list[str], node: ast.AST) -> str:
@@ -80,24 +89,22 @@ def parse_files(files: DataFrame) -> DataFrame:
     Stage the result when both kinds are wanted.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [field.split()[0] for field in PARSED_SCHEMA.split(", ")]
-        for frame in frames:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows: list[tuple] = []
-            for path, content in zip(frame["path"], frame["content"]):
-                rows.extend(_file_rows(path, content))
+            for path, content in zip(batch.column(0), batch.column(1)):
+                rows.extend(_file_rows(path.as_py(), content.as_py()))
                 if len(rows) >= ROWS_PER_FRAME:
-                    yield _frame(rows, names)
+                    yield _batch(rows)
                     rows = []
             if rows:
-                yield _frame(rows, names)
+                yield _batch(rows)
 
-    return files.select("path", F.col("content").cast("binary").alias("content")).mapInPandas(run, PARSED_SCHEMA)
+    return files.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(run, PARSED_SCHEMA)
 
 
-def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=names)
-    return frame.astype({"start_line": "Int32", "end_line": "Int32", "is_async": "boolean"})
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), PARSED_TYPES.values())], list(PARSED_TYPES))
 
 
 def functions_of(parsed: DataFrame) -> DataFrame:

@@ -99,3 +99,39 @@ def test_a_failing_segment_is_a_row_of_its_own(monkeypatch):
     rows = extract._file_rows("x/y.py", source)
     assert [(r[2], r[3]) for r in rows] == [("parsed", None), ("function", "good"), ("segment_error", "bad"), ("function", "after")]
     assert rows[2][7] is None and rows[3][7] == "def after():\n    return 3"
+
+
+def test_a_mounted_tree_is_listed_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver asks for the first level alone; empty, hidden and ``_`` files are read like the others."""
+    from codecorpus.sources import readers
+
+    want = {"a.py": b"x = 1\n", "repo/__init__.py": b"", "repo/deep/er/m.py": b"y = 2\n", "repo/.hidden.py": b"z"}
+    for name, content in {**want, "repo/notes.txt": b"no"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+
+    def no_listing(*_):
+        raise AssertionError("the driver listed the whole tree")
+
+    monkeypatch.setattr(readers, "list_files", no_listing)
+    monkeypatch.setattr(readers, "FRAME_BYTES", 1)
+    for root in (str(tmp_path), f"file://{tmp_path}/", f"file:{tmp_path}"):
+        got = readers.read_source_files(spark, root).collect()
+        assert {r.path: bytes(r.content) for r in got} == want and len(got) == len(want)
+
+
+def test_definitions_visit_no_expression(monkeypatch):
+    import ast
+
+    from codecorpus.operators import extract
+
+    def no_walk(_):
+        raise AssertionError("an expression was visited")
+
+    monkeypatch.setattr(ast, "iter_child_nodes", no_walk)
+    text = "\n".join([
+        "try:", "    def a(): pass", "except E:", "    def b(): pass", "else:", "    def c(): pass", "finally:", "    def d(): pass",
+        "match x:", "    case 1:", "        async def e():", "            if (lambda y: y)(1 if 2 else 3):", "                def f(): pass",
+        "            else:", "                class G:", "                    def h(self): pass", "def i(): pass",
+    ])
+    assert [n.name for n in extract._definitions(ast.parse(text))] == list("abcdefhi")
