@@ -15,6 +15,8 @@ from codecorpus.functions.text import strip
 # In a target of that length, characters that make up more than 1 % start no block.
 LONG_TARGET = 200
 COMMON_SHARE = 100
+#: Pairs of short texts that are compared at once.
+PAIRS_AT_ONCE = 1024
 
 
 def _codes(text: str) -> np.ndarray:
@@ -62,15 +64,62 @@ def _percent(left: str, right: str) -> float:
     return 2.0 * matching_length(left, right) / both * 100 if both else 100.0
 
 
+def _matrix(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, empty: int) -> np.ndarray:
+    """A column per text part, filled up with ``empty``."""
+    places = np.arange(lengths.max())[:, None]
+    inside = places < lengths
+    return np.where(inside, codes[np.where(inside, starts + places, 0)], empty)
+
+
+def _longest_blocks(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``longest_block`` of each column of two matrices, in which every character may start a block."""
+    count = a.shape[1]
+    left, right, best = np.zeros(count, np.int64), np.zeros(count, np.int64), np.zeros(count, np.int32)
+    run = np.zeros((len(b) + 1, count), np.int32)
+    for i in range(len(a)):
+        run[1:] = np.where(b == a[i], run[:-1] + 1, 0)
+        size = run.max(axis=0)
+        better = np.flatnonzero(size > best)
+        if len(better):
+            best[better] = size[better]
+            left[better] = i + 1 - size[better]
+            right[better] = run[:, better].argmax(axis=0) - size[better]
+    return left, right, best
+
+
+def matching_lengths(pairs: list[tuple[str, str]]) -> list[int]:
+    """``matching_length`` of each pair; pairs of short texts are compared many at a time."""
+    found = np.zeros(len(pairs), np.int64)
+    short = [k for k, (left, right) in enumerate(pairs) if max(len(left), len(right)) < LONG_TARGET]
+    for k in set(range(len(pairs))).difference(short):
+        found[k] = matching_length(*pairs[k])
+    short.sort(key=lambda k: (len(pairs[k][0]), len(pairs[k][1])))
+    for at in range(0, len(short), PAIRS_AT_ONCE):
+        some = short[at : at + PAIRS_AT_ONCE]
+        texts = [t for k in some for t in pairs[k]]
+        codes = _codes("".join(texts)).astype(np.int64)
+        ends = np.cumsum(list(map(len, texts)))
+        starts = ends - list(map(len, texts))
+        # parts still to compare: pair, and from where to where in either text
+        parts = np.stack([np.asarray(some), starts[::2], ends[::2], starts[1::2], ends[1::2]])
+        while (parts := parts[:, (parts[1] < parts[2]) & (parts[3] < parts[4])]).size:
+            pair, a0, a1, b0, b1 = parts
+            i, j, size = _longest_blocks(_matrix(codes, a0, a1 - a0, -1), _matrix(codes, b0, b1 - b0, -2))
+            np.add.at(found, pair, size)
+            i, j, hit = a0 + i, b0 + j, size > 0
+            before, after = np.stack([pair, a0, i, b0, j]), np.stack([pair, i + size, a1, j + size, b1])
+            parts = np.concatenate([before[:, hit], after[:, hit]], axis=1)
+    return found.tolist()
+
+
 @F.pandas_udf(T.DoubleType())
 def _similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    known: dict[tuple, float | None] = {}
-    out = []
-    for pair in zip(left, right):
-        if pair not in known:
-            known[pair] = None if pair[0] is None or pair[1] is None else _percent(*pair)
-        out.append(known[pair])
-    return pd.Series(out, dtype="float64")
+    pairs = list(zip(left, right))
+    distinct = list({p for p in pairs if p[0] is not None and p[1] is not None})
+    known: dict[tuple, float] = {}
+    for (a, b), length in zip(distinct, matching_lengths(distinct), strict=True):
+        known[a, b] = 2.0 * length / (len(a) + len(b)) * 100 if a or b else 100.0
+    return pd.Series([known.get(p) for p in pairs], dtype="float64")
 
 
 def similarity(prediction: Column, target: Column, stripped: bool = True) -> Column:

@@ -146,3 +146,21 @@ def test_training_log(spark):
 def test_histogram_leaves_out_nan(spark):
     rows = spark.createDataFrame([(0.0,), (1.0,), (float("nan"),), (None,)], "prediction_score double")
     assert values(summary.score_histogram(rows, bins=2), "bin", "lo", "hi", "n") == [(0, 0.0, 0.5, 1), (1, 0.5, 1.0, 1)]
+
+
+def test_short_pairs_are_compared_many_at_a_time(monkeypatch):
+    import random
+
+    from codecorpus.functions import similarity
+
+    rng = random.Random(5)
+    text = lambda: "".join(rng.choice("abé😀 ") for _ in range(rng.choice([0, 1, 4, 13, 60])))
+    pairs = [(text(), text()) for _ in range(300)]
+    want = [similarity.matching_length(*p) for p in pairs]
+
+    def one_at_a_time(*_):
+        raise AssertionError("a short pair was compared alone")
+
+    monkeypatch.setattr(similarity, "matching_length", one_at_a_time)
+    monkeypatch.setattr(similarity, "PAIRS_AT_ONCE", 64)
+    assert similarity.matching_lengths(pairs) == want
