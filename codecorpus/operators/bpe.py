@@ -8,14 +8,15 @@ whose size is a parameter, and a bounded summary per round.
 from __future__ import annotations
 
 import heapq
-from collections import Counter, defaultdict
-from collections.abc import Iterator
+import itertools
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from codecorpus.functions.text import IF_MASK
 from codecorpus.session import Staging, spread
@@ -37,6 +38,8 @@ MAX_PAIRS = 16_384
 #: Symbols of a round's segments, in all, that the driver may hold.
 MAX_SYMBOLS = 100_000
 CACHED_WORDS = 500_000
+#: Rows that a Python task encodes or decodes at once.
+ROWS_AT_ONCE = 256
 
 
 def byte_characters() -> list[str]:
@@ -72,6 +75,9 @@ def word_frequencies(df: DataFrame, col: str = "text", by_line: bool = False) ->
 
 def pair_counts(words: DataFrame, symbols: str = "symbols", n: str = "n") -> DataFrame:
     """``left, right, n``: neighbouring symbols, weighted by the word count."""
+    if words.schema[symbols].dataType == T.ArrayType(T.IntegerType()):
+        ids = words.select(symbols, F.col(n).cast("bigint")).mapInArrow(_pairs_of_batches, "left int, right int, n bigint")
+        return ids.groupBy("left", "right").agg(F.sum("n").alias("n"))
     s = F.col(symbols)
     pairs = F.arrays_zip(
         F.slice(s, F.lit(1), F.size(s) - 1).alias("left"), F.slice(s, F.lit(2), F.size(s) - 1).alias("right")
@@ -150,48 +156,117 @@ def _byte_words(words: DataFrame, byte_ids: dict[int, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = batch.column(0).cast(pa.binary())
-            ends = np.cumsum([0] + [len(w.as_py()) for w in raw], dtype=np.int32)
             data = np.frombuffer(b"".join(raw.to_pylist()), dtype=np.uint8)
-            symbols = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[data]))
+            symbols = _lists(pc.binary_length(raw).to_numpy(), ids[data])
             yield pa.RecordBatch.from_arrays([symbols, batch.column(1)], ["symbols", "n"])
 
     return words.filter(F.octet_length("word") > 1).select("word", "n").mapInArrow(run, "symbols array<int>, n bigint")
 
 
-def _counted(name: str, lists: list[list[int]], n: list[int]) -> pd.DataFrame:
-    return pd.DataFrame({name: pd.Series(lists, dtype=object), "n": pd.Series(n, dtype="int64")})
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all words of a batch in one array, the word of each, and the counts; words without symbols or count add nothing."""
+    lists = batch.column(0)
+    lengths = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    symbols = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    counts = batch.column(1).fill_null(0).to_numpy(zero_copy_only=False)
+    return symbols, np.repeat(np.arange(len(lengths)), lengths), counts
+
+
+def _codes(symbols: np.ndarray) -> np.ndarray:
+    """One number for each pair of neighbours."""
+    return (symbols[:-1] << 32) | symbols[1:]
+
+
+def _summed(index: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    sums = np.zeros(size, np.int64)
+    np.add.at(sums, index, counts)
+    return sums
+
+
+def _pairs_of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        symbols, word, counts = _flat(batch)
+        at = np.flatnonzero(word[:-1] == word[1:])
+        pairs, index = np.unique(_codes(symbols)[at], return_inverse=True)
+        sums = _summed(index, counts[word[at]], len(pairs))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array((pairs >> 32).astype(np.int32)), pa.array((pairs & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)], ["left", "right", "n"])
+
+
+def _lists(lengths: np.ndarray, symbols: np.ndarray) -> pa.ListArray:
+    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(symbols.astype(np.int32)))
 
 
 def _segments(words: DataFrame, pairs: set) -> DataFrame:
     """Counts of the stretches of words in which every neighbouring pair is listed."""
+    listed = np.array(sorted((left << 32) | right for left, right in pairs), np.int64)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            counts: Counter = Counter()
-            for symbols, n in zip(frame["symbols"], frame["n"]):
-                symbols = symbols.tolist()
-                start = 0
-                for i in range(1, len(symbols) + 1):
-                    if i == len(symbols) or (symbols[i - 1], symbols[i]) not in pairs:
-                        if i - start > 1:
-                            counts[tuple(symbols[start:i])] += n
-                        start = i
-            yield _counted("segment", [list(s) for s in counts], list(counts.values()))
-
-    parts = words.mapInPandas(run, "segment array<int>, n bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            symbols, word, counts = _flat(batch)
+            if not len(symbols):
+                continue
+            linked = (word[:-1] == word[1:]) & np.isin(_codes(symbols), listed)
+            starts = np.flatnonzero(np.concatenate(([True], ~linked)))
+            lengths = np.diff(np.append(starts, len(symbols)))
+            long = lengths > 1
+            held = symbols[np.repeat(long, lengths)].astype(np.int32)
+            # equal segments of the batch are counted once, as byte strings
+            ends = np.concatenate(([0], np.cumsum(lengths[long] * 4))).astype(np.int32)
+            texts = pa.Array.from_buffers(pa.binary(), int(long.sum()), [None, pa.py_buffer(ends), pa.py_buffer(held)])
+            found = texts.dictionary_encode()
+            distinct = found.dictionary.to_pylist()
+            sums = _summed(found.indices.to_numpy(), counts[word[starts[long]]], len(distinct))
+            sizes = np.array([len(x) // 4 for x in distinct], np.int64)
+            yield pa.RecordBatch.from_arrays([_lists(sizes, np.frombuffer(b"".join(distinct), np.int32)), pa.array(sums)], ["segment", "n"])
+
+    parts = words.mapInArrow(run, "segment array<int>, n bigint")
     return parts.groupBy("segment").agg(F.sum("n").alias("n"))
 
 
+def _alternate(hits: np.ndarray) -> np.ndarray:
+    """The places at which a pair of equal symbols is merged: in a run every second one, from the left."""
+    first = np.flatnonzero(np.diff(hits, prepend=-2) != 1)
+    run_start = np.repeat(hits[first], np.diff(np.append(first, len(hits))))
+    return hits[(hits - run_start) % 2 == 0]
+
+
+def _merged(symbols: np.ndarray, word: np.ndarray, ranks: dict) -> tuple[np.ndarray, np.ndarray]:
+    """``merge_symbols`` for many words at once, by rank: again from the first one if a merge has made an earlier pair."""
+    order = sorted(((rank, pair, new) for pair, (rank, new) in ranks.items()))
+    listed = np.array(sorted((left << 32) | right for left, right in ranks), np.int64)
+    while np.any((word[:-1] == word[1:]) & np.isin(_codes(symbols), listed)):
+        for _, (left, right), new in order:
+            hits = np.flatnonzero((symbols[:-1] == left) & (symbols[1:] == right) & (word[:-1] == word[1:]))
+            if len(hits):
+                hits = _within(hits, word) if left == right else hits
+                symbols[hits] = new
+                keep = np.ones(len(symbols), bool)
+                keep[hits + 1] = False
+                symbols, word = symbols[keep], word[keep]
+    return symbols, word
+
+
+def _within(hits: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Merged places of a pair of equal symbols; a run ends with its word."""
+    shifted = hits + word[hits]  # a gap between the words, so that runs of neighbouring words stay apart
+    kept = _alternate(shifted)
+    return hits[np.isin(shifted, kept)]
+
+
 def _merge_words(words: DataFrame, ranks: dict) -> DataFrame:
     """Apply one round's merges; words of a single symbol have no pairs left."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            merged = [(merge_symbols(s.tolist(), ranks), n) for s, n in zip(frame["symbols"], frame["n"])]
-            left = [(s, n) for s, n in merged if len(s) > 1]
-            yield _counted("symbols", [s for s, _ in left], [n for _, n in left])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            symbols, word, counts = _flat(batch)
+            symbols, word = _merged(symbols, word, ranks)
+            lengths = np.bincount(word, minlength=len(counts))
+            left = lengths > 1
+            yield pa.RecordBatch.from_arrays([_lists(lengths[left], symbols[left[word]]), pa.array(counts[left])], ["symbols", "n"])
 
-    return words.mapInPandas(run, "symbols array<int>, n bigint")
+    return words.mapInArrow(run, "symbols array<int>, n bigint")
 
 
 class _Round:
@@ -237,9 +312,7 @@ class _Round:
         hits = np.flatnonzero((self.symbols[:-1] == pair[0]) & (self.symbols[1:] == pair[1]))
         if pair[0] == pair[1]:
             # In a run of equal symbols every second place is taken, from the left.
-            first = np.flatnonzero(np.diff(hits, prepend=-2) != 1)
-            run_start = np.repeat(hits[first], np.diff(np.append(first, len(hits))))
-            hits = hits[(hits - run_start) % 2 == 0]
+            hits = _alternate(hits)
         changed = self._count(np.unique(np.concatenate([hits - 1, hits, hits + 1])), -1)
         self.symbols[hits] = new
         keep = np.ones(len(self.symbols), dtype=bool)
@@ -365,29 +438,44 @@ def encode_column(col: Column, vocab: Vocabulary) -> Column:
     ranks, byte_ids = vocab.ranks, vocab.byte_ids
     fixed = {t: [vocab.ids[t]] for t in special}
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, list[int]] = dict(fixed)
+
+        def of(word: str) -> list[int]:
+            found = known.get(word)
+            if found is None:
+                found = merge_symbols([byte_ids[b] for b in word.encode()], ranks)
+                if len(known) < CACHED_WORDS:
+                    known[word] = found
+            return found
+
         for batch in batches:
-            out = []
-            for row in batch:
-                if row is None:
-                    out.append(None)
-                    continue
-                ids: list[int] = []
-                for word in row:
-                    found = known.get(word)
-                    if found is None:
-                        found = merge_symbols([byte_ids[b] for b in word.encode()], ranks)
-                        if len(known) < CACHED_WORDS:
-                            known[word] = found
-                    ids.extend(found)
-                out.append(ids)
-            yield pd.Series(out, dtype=object)
+            # few rows at once: a text's words take several times the room of the text
+            parts = [_encoded(batch.slice(at, ROWS_AT_ONCE), of) for at in range(0, len(batch), ROWS_AT_ONCE)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return run(words)
 
 
+def _encoded(rows: pa.ListArray, of: Callable[[str], list[int]]) -> pa.ListArray:
+    """The ids of rows of words. Each distinct word is looked up once, and no word of a row becomes a Python object."""
+    words = rows.flatten().dictionary_encode()
+    table = [of(word) for word in words.dictionary.to_pylist()]
+    sizes = np.fromiter(map(len, table), np.int64, len(table))
+    ids = np.fromiter(itertools.chain.from_iterable(table), np.int32, int(sizes.sum()))
+    places = words.indices.to_numpy()
+    lengths = sizes[places]
+    ends = np.concatenate(([0], np.cumsum(lengths)))
+    # the ids of word w stand from starts[w] on in the table, those of the i-th word from ends[i] on in the result
+    starts = np.cumsum(sizes) - sizes
+    out = ids[np.repeat(starts[places] - ends[:-1], lengths) + np.arange(ends[-1])]
+    row_words = pc.list_value_length(rows).fill_null(0).to_numpy(zero_copy_only=False)
+    row_ends = ends[np.concatenate(([0], np.cumsum(row_words))).astype(np.int64)]
+    absent = rows.is_null() if rows.null_count else None
+    return pa.ListArray.from_arrays(pa.array(row_ends.astype(np.int32)), pa.array(out), mask=absent)
+
+
 def fit_length(ids: Column, max_len: int | None, pad: bool, truncate: bool, pad_id: int = PAD_ID) -> Column:
     if max_len is None:
         return ids
@@ -441,12 +529,25 @@ def decode_column(ids: Column, vocab: Vocabulary, skip_special: bool = False) ->
         else:
             pieces.append(b"".join(values[c] for c in token))
 
-    @F.pandas_udf("string")
-    def run(batch: pd.Series) -> pd.Series:
-        texts = [
-            None if row is None else b"".join([pieces[i] for i in row]).decode("utf-8", "replace") for row in batch
-        ]
-        return pd.Series(texts, dtype=object)
+    table = pa.array(pieces, pa.binary())
+
+    def texts(rows: pa.ListArray) -> pa.Array:
+        lengths = pc.list_value_length(rows).fill_null(0).to_numpy(zero_copy_only=False)
+        ends = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
+        # an id that is null fails, as it has no piece
+        flat = table.take(rows.flatten())
+        if flat.null_count:
+            raise ValueError("an id list holds a null")
+        absent = rows.is_null() if rows.null_count else None
+        joined = pc.binary_join(pa.ListArray.from_arrays(ends, flat, mask=absent), b"")
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:  # some text is no UTF-8
+            return pa.array([None if x is None else x.decode("utf-8", "replace") for x in joined.to_pylist()], pa.string())
+
+    @F.arrow_udf("string")
+    def run(batch: pa.Array) -> pa.Array:
+        return pa.concat_arrays([texts(batch.slice(at, ROWS_AT_ONCE)) for at in range(0, len(batch), ROWS_AT_ONCE)] or [pa.array([], pa.string())])
 
     return run(ids)
 

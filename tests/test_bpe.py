@@ -145,3 +145,38 @@ def test_tables_round_trip_and_lengths(spark):
     assert skipped.decoded == "if"
     checks = bpe.validate_tokenizer(text_frame(spark, TEXTS), vocab).first()
     assert checks.texts == len(TEXTS) == checks.round_trips and checks.with_mask_token == 1
+
+
+def test_merging_many_words_equals_one_word_at_a_time():
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    for _ in range(60):
+        ranks, size = {}, 4
+        for rank in range(8):
+            pair, known = (rng.randrange(size), rng.randrange(size)), rank == 7
+            if pair not in ranks:
+                ranks[pair] = (rank, 2 if known else size)
+                size += not known
+        words = [[rng.randrange(rng.choice([2, 4])) for _ in range(rng.choice([0, 1, 2, 5, 12]))] for _ in range(50)]
+        batch = pa.record_batch([pa.array(words, pa.list_(pa.int32())), pa.array([1] * len(words))], ["symbols", "n"])
+        symbols, word, _ = bpe._flat(batch)
+        symbols, word = bpe._merged(symbols, word, ranks)
+        assert [symbols[word == i].tolist() for i in range(len(words))] == [bpe.merge_symbols(w, ranks) for w in words]
+
+
+def test_a_batch_asks_for_each_distinct_word_once():
+    import pyarrow as pa
+
+    asked = []
+
+    def of(word):
+        asked.append(word)
+        return list(word.encode())
+
+    rows = pa.array([["a", "bc", "a"], None, [], ["bc"] * 500, [""]], pa.list_(pa.string()))
+    got = bpe._encoded(rows.slice(0), of).to_pylist()
+    assert got == [[97, 98, 99, 97], None, [], [98, 99] * 500, []] and sorted(asked) == ["", "a", "bc"]
+    assert bpe._encoded(rows.slice(2, 2), of).to_pylist() == [[], [98, 99] * 500]
