@@ -3,6 +3,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
 from codecorpus.llm import collocations, queries
 from codecorpus.llm.oracles import SQL
@@ -48,3 +49,36 @@ def test_odd_rows(spark, odd_docs):
     assert not any(r.phrase == "lorem ipsum" for r in found)  # as often as a longer candidate that holds it
     assert all(r.score <= 1_000_000 and r.a >= 2 for r in found)
     assert collocations.collocations(odd_docs.filter("false")).count() == 0
+
+
+def test_words_in_equals_words_of():
+    texts = ["Ab\tCD é. x,\ny  z!", None, "", " \t", "É\u0001x\u0000y 🎉 Q\x0b漢 a:b;c?D", "last word"]
+    words, linked, row = collocations.words_in(pa.array(texts, pa.string()))
+    pieces, words = {}, words.to_pylist()
+    for p, word in enumerate(words):
+        if p and linked[p - 1]:
+            pieces[row[p]][-1].append(word)
+        else:
+            pieces.setdefault(row[p], []).append([word])
+    assert [pieces.get(k, []) for k in range(len(texts))] == [collocations.words_of(t) for t in texts]
+
+
+def test_only_frequent_phrases_are_summed(spark, monkeypatch):
+    """Rare phrases stay in their tasks as hashes; those that are frequent only over all tasks are found."""
+    rng = random.Random(3)
+    vocab = [f"w{i}" for i in range(2000)]
+    docs = [(" ".join(rng.choice(vocab[: rng.randint(1, 2000)]) for _ in range(30)) + f". seen once a text{k % 2}", rng.choice(["en", "de", None])) for k in range(3000)]
+    want = Counter()
+    for text, lang in docs:
+        for p in collocations.words_of(text):
+            want[lang or "und", 0, ""] += len(p)
+            want.update((lang or "und", k, " ".join(p[i : i + k])) for k in (1, 2, 3) for i in range(len(p) - k + 1))
+    frequent = {key: n for key, n in want.items() if n >= 10}
+    df = spark.createDataFrame(docs, "text string, lang string").repartition(6)
+    monkeypatch.setattr(collocations, "BATCH_BYTES", 20_000)
+    found = {(r.lang, r.n_words, r.phrase): r.f for r in collocations.phrase_counts(df, min_count=10).collect()}
+    assert found == frequent
+    assert {(r.lang, r.n_words, r.phrase): r.f for r in collocations.phrase_counts(df).collect()} == want
+    rows = df.selectExpr("text", "coalesce(lang, 'und') AS lang")
+    kept = sum(len(r["cells"]) // 8 for r in collocations.frequent_cells(rows, 10).collect())
+    assert kept == len(frequent) - 3 < len(want) / 10  # without the three totals
