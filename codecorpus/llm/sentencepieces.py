@@ -10,7 +10,9 @@ vain.
 The lattice falls apart where no piece of the vocabulary can span two characters
 (before a space, at a line break, between Latin letters and anything else; all checked
 when the model is loaded). Each part is solved once and kept in a bounded cache; the n
-best paths of a text are the n best combinations of its parts' paths.
+best paths of a text are the n best combinations of its parts' paths. The parts that a
+batch still lacks are solved in alphabetical order: what the lattice holds at a place depends
+on the text before it alone, so a part goes on from the start it shares with the one before.
 
 A space is an ordinary character here, and pieces are read with U+2581 as a space. As
 usual, one space is put in front of a text. Characters without a piece become bytes,
@@ -20,6 +22,7 @@ and so does a U+2581 of the text itself: every text comes back unchanged.
 from __future__ import annotations
 
 import functools
+import gc
 import heapq
 import itertools
 import math
@@ -42,8 +45,9 @@ N_BEST = 3
 #: Parts that a worker keeps, at most, and the longest part that is kept.
 CACHE = 800_000
 LONGEST_KEPT = 40
-#: Rows of one output batch: ids take more room than their text.
+#: Rows of one output batch: ids take more room than their text. Rows and characters whose parts are solved together.
 ROWS_AT_ONCE = 128
+ROWS_SOLVED, CHARS_SOLVED = 2048, 1 << 23
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: For each further segmentation: place in the best ids, how many of them go, what stands there instead.
 FURTHER = pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("gone", pa.int32()), ("ids", pa.list_(pa.int32()))])))
@@ -62,12 +66,15 @@ class Parts(dict):
     def __missing__(self, part: str):
         found = self.old.get(part) or self.solve(part)
         if len(part) <= LONGEST_KEPT:
-            if len(self) >= self.limit // 2:
-                self.old = dict(self)
-                self.clear()
-            self[part] = found
+            self.keep(part, found)
         return found
 
+    def keep(self, part: str, found) -> None:
+        if len(self) >= self.limit // 2:
+            self.old = dict(self)
+            self.clear()
+        self[part] = found
+
 
 class Pieces:
     def __init__(self, path: str = MODEL, n_best: int = N_BEST):
@@ -82,13 +89,12 @@ class Pieces:
             scores = {i: -math.log(k + 1) - log_total for k, i in enumerate(ranks)}
         self.text = {i: model.id_to_piece(i).replace("▁", " ") for i in plain}
         self.pieces = {t: (i, scores[i]) for i, t in self.text.items()}
-        self.tree: dict = {}  # character -> (tree after it, ids and score of the piece that ends there)
+        self.tree: dict = {}  # character -> (tree before it, ids and score of the piece that starts there)
         for t, (i, score) in self.pieces.items():
-            after = self.tree
-            for char in t[:-1]:
-                after = after.setdefault(char, ({}, (), 0.0))[0]
-            after[t[-1]] = (after[t[-1]][0] if t[-1] in after else {}, (i,), score)
-        self.longest = max(map(len, self.pieces))
+            before = self.tree
+            for char in t[:0:-1]:
+                before = before.setdefault(char, ({}, (), 0.0))[0]
+            before[t[0]] = (before[t[0]][0] if t[0] in before else {}, (i,), score)
         self.byte_ids = {int(model.id_to_piece(i)[1:-1], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_score = min(scores.values()) - BYTE_PENALTY
         self.bytes_of = {i: t.encode() for i, t in self.text.items()} | {i: bytes([b]) for b, i in self.byte_ids.items()}
@@ -106,75 +112,112 @@ class Pieces:
             return re.compile(r" *[^ \n]+| +|\n").findall
         return re.compile(rf" *[{LATIN}]+| *[^ \n{LATIN}]+| +|\n").findall
 
-    def lattice(self, part: str) -> tuple[list[list[tuple[int, tuple[int, ...], float]]], list[float]]:
-        """For each place the pieces that end there (start, ids, score), and the best score from the start (Viterbi)."""
-        n, tree, longest = len(part), self.tree, self.longest
-        ending: list[list] = [[] for _ in range(n + 1)]
-        best = [0.0] + [-math.inf] * n
-        for i in range(n):
-            here, j, after = best[i], i, tree
-            for char in part[i : i + longest]:
-                node = after.get(char)
+    def lattice(
+        self, part: str, known: tuple[list, list[float]] | None = None
+    ) -> tuple[list[list[tuple[int, tuple[int, ...], float]]], list[float]]:
+        """For each place the pieces that end there (start, ids, score), and the best score from the start (Viterbi).
+
+        ``known``: what was found for the first places, of this part or of another that begins alike; it is extended.
+        """
+        ending, best = known or ([[]], [0.0])
+        for j in range(len(best), len(part) + 1):
+            before, i, ends = self.tree, j, []
+            while i:
+                node = before.get(part[i - 1])
                 if node is None:
                     break
-                after, ids, score = node
-                j += 1
+                i -= 1
+                before, ids, score = node
                 if ids:
-                    ending[j].append((i, ids, score))
-                    if here + score > best[j]:
-                        best[j] = here + score
-            if not ending[i + 1] or ending[i + 1][-1][0] != i:  # no piece for this character
-                ids = tuple(self.byte_ids[b] for b in part[i].encode())
-                score = self.byte_score * len(ids)
-                ending[i + 1].append((i, ids, score))
-                if here + score > best[i + 1]:
-                    best[i + 1] = here + score
+                    ends.append((i, ids, score))
+            if not ends or ends[0][0] != j - 1:  # no piece for this character
+                ids = tuple(self.byte_ids[b] for b in part[j - 1].encode())
+                ends.insert(0, (j - 1, ids, self.byte_score * len(ids)))
+            ends.reverse()
+            top = -math.inf
+            for i, _, score in ends:
+                if best[i] + score > top:
+                    top = best[i] + score
+            ending.append(ends)
+            best.append(top)
         return ending, best
 
-    def paths(self, part: str, n: int | None = None) -> list[tuple[float, tuple[int, ...]]]:
+    def paths(self, part: str, n: int | None = None, lattice: tuple[list, list[float]] | None = None) -> list[tuple[float, tuple[int, ...]]]:
         """The ``n`` best paths of a part as (score, ids), best first: A-star from the end.
 
         As the forward scores are exact, each open state stands for one whole path, so no more
         states than paths still wanted need stay open.
         """
-        n = n or self.n_best
-        ending, best = self.lattice(part)
-        opened = [(best[-1], 0, len(part), 0.0, None)]  # total, order (settles ties), place, score behind, pieces behind
-        found, order = [], 0
-        while opened and len(found) < n:
-            _, _, at, score, tail = opened.pop(0)
+        wanted = n or self.n_best
+        ending, best = lattice or self.lattice(part)
+        opened = [(best[-1], len(part), 0.0, None)]  # total, place, score behind, pieces behind; best first, at a tie the older
+        found = []
+        while opened:
+            _, at, score, tail = opened.pop(0)
             if not at:
                 ids: list[int] = []
                 while tail:
                     ids.extend(tail[0])
                     tail = tail[1]
                 found.append((score, tuple(ids)))
+                wanted -= 1
+                if not wanted:
+                    break
                 continue
+            size = len(opened)
+            least = opened[-1][0] if size >= wanted else -math.inf
             for start, ids, own in ending[at]:
-                order -= 1
-                opened.append((score + own + best[start], order, start, score + own, (ids, tail)))
-            if len(opened) > 1:
-                opened.sort(reverse=True)
-                del opened[n - len(found) :]
+                behind = score + own
+                total = behind + best[start]
+                if total > least:
+                    k = size
+                    while k and total > opened[k - 1][0]:
+                        k -= 1
+                    opened.insert(k, (total, start, behind, (ids, tail)))
+                    if size < wanted:
+                        size += 1
+                    else:
+                        opened.pop()
+                    if size == wanted:
+                        least = opened[-1][0]
         return found
 
-    def _solve(self, part: str) -> tuple[tuple[int, ...], float, tuple[float, ...], tuple[tuple[int, ...], ...]]:
+    def solve_all(self, parts: set[str]) -> None:
+        """Solve the short ones among ``parts`` that are not kept yet."""
+        ending, best, last = [[]], [0.0], ""
+        for part in sorted(x for x in parts if len(x) <= LONGEST_KEPT and x not in self.parts and x not in self.parts.old):
+            same = 0
+            for a, b in zip(part, last):
+                if a != b:
+                    break
+                same += 1
+            del ending[same + 1 :], best[same + 1 :]
+            self.lattice(part, (ending, best))
+            last = part
+            self.parts.keep(part, self._solve(part, (ending, best)))
+
+    def _solve(self, part: str, lattice: tuple[list, list[float]] | None = None) -> tuple[tuple[int, ...], float, tuple[float, ...], tuple[tuple[int, ...], ...]]:
         """Best ids, their score, how much worse the next paths are, and their ids."""
-        found = self.paths(part)
+        found = self.paths(part, lattice=lattice)
         return found[0][1], found[0][0], tuple(found[0][0] - s for s, _ in found[1:]), tuple(ids for _, ids in found[1:])
 
     def encode(self, text: str | None) -> tuple[list[int], list[float]]:
         """Ids of the best segmentation, and the scores of the n best. Nothing for an empty text."""
         return self.encode_all(text)[:2]
 
-    def encode_all(self, text: str | None) -> tuple[list[int], list[float], list[list[tuple[int, int, tuple[int, ...]]]]]:
+    def cut(self, text: str | None) -> list[str]:
+        """The parts of a text."""
+        return self.split(" " + text) if text else []
+
+    def encode_all(self, text: str | None, parts: list[str] | None = None) -> tuple[list[int], list[float], list[list[tuple[int, int, tuple[int, ...]]]]]:
         """Ids of the best segmentation, the scores of the n best, and for each further one where it differs.
 
         A difference is (place in the best ids, how many of them go, the ids that stand there instead), by place.
+        ``parts``: those of the text, if they are known.
         """
         if not text:
             return [], [], []
-        solved = list(map(self.parts.__getitem__, self.split(" " + text)))
+        solved = list(map(self.parts.__getitem__, parts or self.cut(text)))
         ids = list(itertools.chain.from_iterable(map(itemgetter(0), solved)))
         total = sum(map(itemgetter(1), solved))
         losses = list(map(itemgetter(2), solved))
@@ -199,7 +242,7 @@ class Pieces:
         """The ``n`` best segmentations of a text with their ids, best first."""
         n = n or self.n_best
         found: list[tuple[float, list[int]]] = [(0.0, [])]
-        for part in self.split(" " + text) if text else []:
+        for part in self.cut(text):
             paths = self.paths(part, n)
             found = heapq.nlargest(n, ((a + b, x + list(y)) for a, x in found for b, y in paths), key=itemgetter(0))
         return found if text else []
@@ -245,6 +288,22 @@ def decode(ids: Column, path: str = MODEL) -> Column:
     return of(ids)
 
 
+def _solved(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[tuple[pa.RecordBatch, list[str | None], list[list[str]]]]:
+    """Small batches with their texts and the parts of these, which are solved by then (the long ones when they are used)."""
+    for batch in batches:
+        lengths = np.cumsum([len(x or "") for x in batch["text"].to_pylist()])
+        at = 0
+        while at < len(batch):
+            chars = CHARS_SOLVED + (lengths[at - 1] if at else 0)
+            some = batch.slice(at, min(ROWS_SOLVED, max(1, int(np.searchsorted(lengths, chars)) - at)))
+            texts = some["text"].to_pylist()
+            cut = [pieces.cut(x) for x in texts]
+            pieces.solve_all(set().union(*cut))
+            for k in range(0, len(some), ROWS_AT_ONCE):
+                yield some.slice(k, ROWS_AT_ONCE), texts[k : k + ROWS_AT_ONCE], cut[k : k + ROWS_AT_ONCE]
+            at += len(some)
+
+
 def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, ids, n_pieces, scores, exact, further``.
 
@@ -254,26 +313,27 @@ def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path, n_best)
+        collects = gc.isenabled()
+        gc.disable()  # solved parts are many small tuples without cycles
         try:
-            for batch in batches:
-                for at in range(0, len(batch), ROWS_AT_ONCE):
-                    part = batch.slice(at, ROWS_AT_ONCE)
-                    ids, scores, exact, further = [], [], [], []
-                    for text in part["text"]:
-                        text = text.as_py()
-                        found, best, others = pieces.encode_all(text)
-                        ids.append(np.array(found, np.int32))
-                        scores.append(best)
-                        exact.append(pieces.decode(found) == (text or "") and all(pieces.same_text(found, x) for x in others))
-                        further.append([[{"at": at, "gone": gone, "ids": new} for at, gone, new in x] for x in others])
-                    lengths = np.array(list(map(len, ids)), np.int64)
-                    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                    yield pa.record_batch({
-                        "doc_id": part["doc_id"], "ids": pa.ListArray.from_arrays(ends, np.concatenate(ids)), "n_pieces": lengths,
-                        "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact, "further": pa.array(further, FURTHER)})
+            for part, texts, cut in _solved(batches, pieces):
+                ids, scores, exact, further = [], [], [], []
+                for text, of_text in zip(texts, cut, strict=True):
+                    found, best, others = pieces.encode_all(text, of_text)
+                    ids.append(np.array(found, np.int32))
+                    scores.append(best)
+                    exact.append(pieces.decode(found) == (text or "") and all(pieces.same_text(found, x) for x in others))
+                    further.append([[{"at": at, "gone": gone, "ids": new} for at, gone, new in x] for x in others])
+                lengths = np.array(list(map(len, ids)), np.int64)
+                ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+                yield pa.record_batch({
+                    "doc_id": part["doc_id"], "ids": pa.ListArray.from_arrays(ends, np.concatenate(ids)), "n_pieces": lengths,
+                    "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact, "further": pa.array(further, FURTHER)})
         finally:  # solved parts stay for one task only: a reused worker does not carry them into later stages
             pieces.parts.clear()
             pieces.parts.old = {}
+            if collects:
+                gc.enable()
             release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()

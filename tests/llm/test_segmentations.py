@@ -21,3 +21,35 @@ def test_query_returns_all_segmentations(spark, sf):
     for r in queries.op9_sentencepiece(spark, sf).collect():
         assert len(r.further) == max(0, len(r.scores) - 1) and r.exact
         assert all(pieces.decode(sentencepieces.replaced(list(r.ids), x)) == (texts[r.doc_id] or "") for x in r.further)
+
+
+def test_parts_solved_together_equal_parts_solved_alone():
+    """In order, a part takes over the lattice of the start it shares with the one before: few places are searched anew."""
+    words = [" loweischaft", " lower", " lowest", "low", " low", " 漢字", " 漢", "abab" * 5, "ababa", " x", " aabaa", "é", " lowe\u0001", "z" * 60]
+    words += [f" {a}{b}{c}" for a in ("over", "under", "inter") for b in ("stand", "state", "tion", "ing") for c in ("s", "ed", "ing", "ly", "er")]
+    together, alone, places = sentencepieces.Pieces(), sentencepieces.Pieces(), []
+    lattice = together.lattice
+
+    def counted(part, known=None):
+        places.append(len(part) + 1 - (len(known[1]) if known else 1))
+        return lattice(part, known)
+
+    together.lattice = counted
+    together.solve_all(set(words))
+    assert sum(places) < sum(map(len, words)) / 2
+    assert dict(together.parts) == {w: alone.parts[w] for w in words if len(w) <= sentencepieces.LONGEST_KEPT}
+    for word in words:
+        every, ways = alone.lattice(word)[0], {0: [()]}
+        for j in range(1, len(word) + 1):
+            ways[j] = [(*way, *ids) for i, ids, _ in every[j] for way in ways[i]] if len(word) < 14 else []
+        if ways[len(word)]:  # all paths, by their scores
+            score = {i: s for i, s in alone.pieces.values()}
+            best = sorted((sum(score.get(i, alone.byte_score) for i in way) for way in ways[len(word)]), reverse=True)[:3]
+            assert [s for s, _ in alone.paths(word)] == pytest.approx(best)
+
+
+def test_small_runs_of_rows_give_the_same(spark, odd_docs, monkeypatch):
+    want = sorted(map(str, sentencepieces.encoded(odd_docs).collect()))
+    monkeypatch.setattr(sentencepieces, "CHARS_SOLVED", 50)
+    monkeypatch.setattr(sentencepieces, "ROWS_SOLVED", 3)
+    assert sorted(map(str, sentencepieces.encoded(odd_docs).collect())) == want and len(want) == odd_docs.count()
