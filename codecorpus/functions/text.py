@@ -52,10 +52,11 @@ def split_lines(col: Column) -> Column:
 def unify_breaks(col: Column) -> Column:
     """Every line break as a line feed, none at the end: lines joined again.
 
-    Text that has line feeds only, as most has, is not rewritten.
+    Text that has line feeds only, as most has, is not rewritten, and is searched for others once.
     """
-    unified = F.when(col.rlike(rf"[{RARE_BREAKS}]"), F.regexp_replace(col, LINE_BREAK, "\n")).otherwise(col)
-    return F.regexp_replace(unified, r"\n\z", "")
+    unified = F.regexp_replace(F.regexp_replace(col, LINE_BREAK, "\n"), r"\n\z", "")
+    shorter = F.when(F.endswith(col, F.lit("\n")), F.left(col, F.length(col) - 1)).otherwise(col)
+    return F.when(col.rlike(rf"[{RARE_BREAKS}]"), unified).otherwise(shorter)
 
 
 def nonblank_lines(col: Column) -> Column:

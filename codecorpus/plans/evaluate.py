@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from codecorpus.functions.text import append_mask, confidence
 from codecorpus.operators import masking, model, scoring, summary
+from codecorpus.session import Staging
 
 
 def evaluate(pairs: DataFrame, predictions: DataFrame, counts: DataFrame, key: str = "row_id") -> DataFrame:
@@ -24,10 +25,12 @@ def benchmark(
 ) -> DataFrame:
     """Hide a statement in each text, predict it and score it untrimmed.
 
-    Texts without a statement stay, with score 0 and no perplexity.
+    Texts without a statement stay, with score 0 and no perplexity. The joins read their rows
+    several times (hot keys, distinct targets, the rows themselves), so each step is staged.
     """
-    masked = masking.mask_statement(df.select(key, code), key, code, seed, on_missing="keep")
-    predicted = model.best_prediction(model.predict_statements(statements, masked))
+    staging = Staging(df.sparkSession)
+    masked = staging.put(masking.mask_statement(df.select(key, code), key, code, seed, on_missing="keep"), "masked")
+    predicted = staging.put(model.best_prediction(model.predict_statements(statements, masked)), "predicted")
     scored = scoring.score_rows(model.attach_perplexity(counts, predicted), stripped=False)
     return scored.select(
         key, code, "input_text", "target_text", "has_if", "predicted_if", "prediction_score", "perplexity"

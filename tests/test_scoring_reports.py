@@ -9,7 +9,7 @@ from codecorpus.functions import udf
 from codecorpus.functions.similarity import similarity
 from codecorpus.operators import model, scoring, summary, training_log
 from codecorpus.plans import evaluate
-from tests.conftest import values
+from tests.conftest import plan_of, values
 
 PAIRS = [
     ("if x:", "if x:"), ("", ""), (None, "if x:"), ("if x:", None), (" if a > 1:\n", "if a>1:"), ("abcd", "bcde"),
@@ -90,6 +90,16 @@ def test_evaluate_and_benchmark(spark):
     assert got[1].input_text == "y = 1"
 
 
+def test_benchmark_masks_and_predicts_once(spark):
+    """The joins read staged rows: neither the mask nor the search for neighbouring lines is computed again."""
+    train = frame(spark, TRAIN)
+    code = spark.createDataFrame([(k, f"y = x\nif x > {k % 3}:\n  y = 1") for k in range(20)], "row_id int, code string")
+    found = evaluate.benchmark(code, model.fit_statement_model(train), model.fit_token_counts(train))
+    plan = plan_of(found)
+    assert "parquet" in plan and "regexp_extract_all" not in plan and "substring_index" not in plan
+    assert found.count() == found.filter("has_if").count() == 20
+
+
 def test_score_batches_builds_once_per_task(spark):
     def make_predictor():
         calls = []
