@@ -21,6 +21,7 @@ and so does a U+2581 of the text itself: every text comes back unchanged.
 
 from __future__ import annotations
 
+import array
 import functools
 import gc
 import heapq
@@ -196,10 +197,10 @@ class Pieces:
             last = part
             self.parts.keep(part, self._solve(part, (ending, best)))
 
-    def _solve(self, part: str, lattice: tuple[list, list[float]] | None = None) -> tuple[tuple[int, ...], float, tuple[float, ...], tuple[tuple[int, ...], ...]]:
-        """Best ids, their score, how much worse the next paths are, and their ids."""
-        found = self.paths(part, lattice=lattice)
-        return found[0][1], found[0][0], tuple(found[0][0] - s for s, _ in found[1:]), tuple(ids for _, ids in found[1:])
+    def _solve(self, part: str, lattice: tuple[list, list[float]] | None = None) -> tuple[tuple[int, ...], float, tuple[float, ...], tuple[tuple[int, ...], ...], bytes]:
+        """Best ids, their score, how much worse the next paths are, their ids, and the best ids as 32-bit numbers."""
+        (score, ids), *others = self.paths(part, lattice=lattice)
+        return ids, score, tuple([score - s for s, _ in others]), tuple([x for _, x in others]), array.array("i", ids).tobytes()
 
     def encode(self, text: str | None) -> tuple[list[int], list[float]]:
         """Ids of the best segmentation, and the scores of the n best. Nothing for an empty text."""
@@ -215,10 +216,15 @@ class Pieces:
         A difference is (place in the best ids, how many of them go, the ids that stand there instead), by place.
         ``parts``: those of the text, if they are known.
         """
+        ids, scores, further = self.encode_array(text, parts)
+        return ids.tolist(), scores, further
+
+    def encode_array(self, text: str | None, parts: list[str] | None = None) -> tuple[np.ndarray, list[float], list[list[tuple[int, int, tuple[int, ...]]]]]:
+        """As ``encode_all``, the ids in an array."""
         if not text:
-            return [], [], []
+            return np.zeros(0, np.int32), [], []
         solved = list(map(self.parts.__getitem__, parts or self.cut(text)))
-        ids = list(itertools.chain.from_iterable(map(itemgetter(0), solved)))
+        ids = np.frombuffer(b"".join(map(itemgetter(4), solved)), np.int32)
         total = sum(map(itemgetter(1), solved))
         losses = list(map(itemgetter(2), solved))
         # only the n - 1 parts whose second path loses least can differ among the n best
@@ -319,9 +325,10 @@ def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFra
             for part, texts, cut in _solved(batches, pieces):
                 ids, scores, exact, further = [], [], [], []
                 for text, of_text in zip(texts, cut, strict=True):
-                    found, best, others = pieces.encode_all(text, of_text)
-                    ids.append(np.array(found, np.int32))
+                    found, best, others = pieces.encode_array(text, of_text)
+                    ids.append(found)
                     scores.append(best)
+                    found = found.tolist()
                     exact.append(pieces.decode(found) == (text or "") and all(pieces.same_text(found, x) for x in others))
                     further.append([[{"at": at, "gone": gone, "ids": new} for at, gone, new in x] for x in others])
                 lengths = np.array(list(map(len, ids)), np.int64)
