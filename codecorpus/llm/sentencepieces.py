@@ -9,10 +9,10 @@ vain.
 
 The lattice falls apart where no piece of the vocabulary can span two characters
 (before a space, at a line break, between Latin letters and anything else; all checked
-when the model is loaded). Each part is solved once and kept in a bounded cache; the n
-best paths of a text are the n best combinations of its parts' paths. The parts that a
-batch still lacks are solved in alphabetical order: what the lattice holds at a place depends
-on the text before it alone, so a part goes on from the start it shares with the one before.
+when the model is loaded). Each part is solved once and kept in a bounded table; the n
+best paths of a text are the n best combinations of its parts' paths. The short parts that
+some texts still lack are solved side by side: each step of the lattice, of Viterbi and of
+the search is taken for all of them at once, in arrays. Solved parts stay in arrays, too.
 
 A space is an ordinary character here, and pieces are read with U+2581 as a space. As
 usual, one space is put in front of a text. Characters without a piece become bytes,
@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import array
 import functools
-import gc
 import heapq
 import itertools
 import math
@@ -31,10 +30,12 @@ import os
 import re
 from collections.abc import Iterator
 from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +44,20 @@ from codecorpus.llm.common import release_memory
 
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 N_BEST = 3
-#: Parts that a worker keeps, at most, and the longest part that is kept.
+#: Parts that a worker keeps, at most, for single texts and for many texts, and the longest part that is kept.
 CACHE = 800_000
+TABLE = 250_000
 LONGEST_KEPT = 40
 #: Rows of one output batch: ids take more room than their text. Rows and characters whose parts are solved together.
 ROWS_AT_ONCE = 128
-ROWS_SOLVED, CHARS_SOLVED = 2048, 1 << 23
+ROWS_SOLVED, CHARS_SOLVED = 2048, 1 << 21
+#: Characters of the parts that are solved side by side.
+CHARS_ABREAST = 1 << 17
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: For each further segmentation: place in the best ids, how many of them go, what stands there instead.
 FURTHER = pa.list_(pa.list_(pa.struct([("at", pa.int32()), ("gone", pa.int32()), ("ids", pa.list_(pa.int32()))])))
+#: Of a part with one path alone.
+NO_RANK = 1 << 30
 #: How much worse than the least piece a byte is.
 BYTE_PENALTY = 10.0
 
@@ -77,6 +83,55 @@ class Parts(dict):
         self[part] = found
 
 
+class Solved(NamedTuple):
+    """Parts with their n best paths: a row for each path, best first, and a column for each part."""
+
+    parts: pa.Array  # in UTF-32
+    ids: np.ndarray  # of all paths
+    first: np.ndarray  # where a path's ids begin
+    size: np.ndarray  # how many they are; 0: there is no such path
+    score: np.ndarray  # -inf: there is no such path
+
+    @classmethod
+    def joined(cls, n_best: int, *tables: Solved) -> Solved:
+        none = np.zeros((n_best, 0), np.int64)
+        tables = [cls(pa.array([], pa.large_binary()), np.zeros(0, np.int32), none, none.astype(np.int32), none.astype(float)), *tables]
+        shifts = itertools.accumulate((len(x.ids) for x in tables), initial=0)
+        return cls(
+            pa.concat_arrays([x.parts for x in tables]), np.concatenate([x.ids for x in tables]), np.concatenate([x.first + y for x, y in zip(tables, shifts, strict=False)], axis=1),
+            np.concatenate([x.size for x in tables], axis=1), np.concatenate([x.score for x in tables], axis=1))
+
+    def take(self, at: np.ndarray) -> Solved:
+        size = self.size[:, at]
+        ends = np.cumsum(size.ravel(), dtype=np.int64).reshape(size.shape)
+        return Solved(self.parts.take(pa.array(at)), self.ids[runs(self.first[:, at].ravel(), size.ravel())], ends - size, size, self.score[:, at])
+
+    def path(self, k: int, part: int) -> list[int]:
+        """The ids of a part's path."""
+        at = self.first[k, part]
+        return self.ids[at : at + self.size[k, part]].tolist()
+
+
+def runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``size[0]`` places from ``first[0]`` on, then those of the next run, and so on."""
+    ends = np.cumsum(size, dtype=np.int64)
+    return np.repeat(first - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def n_bytes(chars: np.ndarray) -> np.ndarray:
+    """Bytes of each character in UTF-8."""
+    return 1 + (chars > 0x7F) + (chars > 0x7FF) + (chars > 0xFFFF)
+
+
+def wide(text: str) -> bytes:
+    return text.encode("utf-32-le", "surrogatepass")
+
+
+def lengths_of(parts: pa.Array) -> np.ndarray:
+    """Characters of each part in UTF-32."""
+    return pc.binary_length(parts).to_numpy() // 4
+
+
 class Pieces:
     def __init__(self, path: str = MODEL, n_best: int = N_BEST):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -96,21 +151,39 @@ class Pieces:
             for char in t[:0:-1]:
                 before = before.setdefault(char, ({}, (), 0.0))[0]
             before[t[0]] = (before[t[0]][0] if t[0] in before else {}, (i,), score)
+        # the same tree for many places at once: nodes by number, found by the node above them and their character
+        steps, nodes = [], [(0, self.tree)]
+        node_ids, node_scores = [-1], [0.0]
+        for number, tree in nodes:
+            for char, (before, ids, score) in tree.items():
+                steps.append(number << 21 | ord(char))
+                node_ids.append(ids[0] if ids else -1)
+                node_scores.append(score)
+                nodes.append((len(steps), before))
+        self.steps, self.node_ids, self.node_scores = pd.Index(np.array(steps, np.int64)), np.array(node_ids, np.int32), np.array(node_scores)
         self.byte_ids = {int(model.id_to_piece(i)[1:-1], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_score = min(scores.values()) - BYTE_PENALTY
         self.bytes_of = {i: t.encode() for i, t in self.text.items()} | {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.n_best = n_best
+        self.kinds: np.ndarray | None = None
         self.split = self._splitter()
-        self.parts = Parts(self._solve)
+        self.forget()
+
+    def forget(self) -> None:
+        """Drop all solved parts."""
+        self.parts, self.known = Parts(self._solve), Solved.joined(self.n_best)
 
     def _splitter(self):
-        """A function that cuts a text where no piece can span the cut."""
+        """A function that cuts a text where no piece can span the cut. ``kinds`` then tells the characters apart."""
         latin = re.compile(f"[{LATIN}]")
         inner = {(a, b) for t in self.pieces for a, b in itertools.pairwise(t)}
         if any(b == " " != a or "\n" in (a, b) for a, b in inner):
             return lambda text: [text] if text else []
+        self.kinds = np.zeros(0x110000, np.uint8)
+        self.kinds[[ord(" "), ord("\n")]] = 2, 3
         if any(a != " " and bool(latin.match(a)) != bool(latin.match(b)) for a, b in inner):
             return re.compile(r" *[^ \n]+| +|\n").findall
+        self.kinds[[i for i in range(0x250) if latin.match(chr(i))]] = 1
         return re.compile(rf" *[{LATIN}]+| *[^ \n{LATIN}]+| +|\n").findall
 
     def lattice(
@@ -185,17 +258,243 @@ class Pieces:
 
     def solve_all(self, parts: set[str]) -> None:
         """Solve the short ones among ``parts`` that are not kept yet."""
-        ending, best, last = [[]], [0.0], ""
-        for part in sorted(x for x in parts if len(x) <= LONGEST_KEPT and x not in self.parts and x not in self.parts.old):
-            same = 0
-            for a, b in zip(part, last):
-                if a != b:
-                    break
-                same += 1
-            del ending[same + 1 :], best[same + 1 :]
-            self.lattice(part, (ending, best))
-            last = part
-            self.parts.keep(part, self._solve(part, (ending, best)))
+        new = sorted(x for x in parts if len(x) <= LONGEST_KEPT and x not in self.parts and x not in self.parts.old)
+        found = self.solved(pa.array(map(wide, new), pa.large_binary()))
+        for part, scores, sizes, k in zip(new, found.score.T.tolist(), found.size.T.tolist(), itertools.count()):
+            ids, *others = (tuple(found.path(j, k)) for j, size in enumerate(sizes) if size)
+            self.parts.keep(part, (ids, scores[0], tuple([scores[0] - x for x in scores[1 : 1 + len(others)]]), tuple(others), array.array("i", ids).tobytes()))
+
+    def solved(self, parts: pa.Array) -> Solved:
+        """The n best paths of different parts (in UTF-32): of the short ones side by side, of each long one alone."""
+        lengths = lengths_of(parts)
+        order = np.argsort(-lengths, kind="stable")
+        ends = np.cumsum(lengths[order])
+        at, tables = 0, []
+        while at < len(order):
+            if lengths[order[at]] > LONGEST_KEPT:
+                tables.append(self._alone(parts[order[at]].as_py()))
+                at += 1
+            else:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHARS_ABREAST, "right")))
+                tables.append(self._abreast(parts.take(pa.array(order[at:to]))))
+                at = to
+        return Solved.joined(self.n_best, *tables).take(np.argsort(order))
+
+    def _alone(self, part: bytes) -> Solved:
+        found = self.paths(part.decode("utf-32-le", "surrogatepass"))
+        size, score = np.zeros((self.n_best, 1), np.int32), np.full((self.n_best, 1), -np.inf)
+        for k, (own, ids) in enumerate(found):
+            size[k], score[k] = len(ids), own
+        return Solved(pa.array([part], pa.large_binary()), np.concatenate([np.array(x, np.int32) for _, x in found]), np.cumsum(size, axis=0) - size, size, score)
+
+    def _lattices(self, parts: pa.Array) -> tuple[np.ndarray, ...]:
+        """``lattice`` of many parts, the longest part first.
+
+        Places are numbered by their distance from the start and then by part, so those of one distance lie side
+        by side. Found are the last place of each part, the best score from the start to each place, where the
+        pieces that end at each place begin in the list of pieces, and of each piece its start, its node
+        (a byte's character c: ``-1 - c``) and its score. As in ``lattice``, the longest piece comes first.
+        """
+        lengths, text = lengths_of(parts), np.frombuffer(b"".join(parts.to_pylist()), np.uint32)
+        firsts, longest = np.cumsum(lengths) - lengths, int(lengths[0])
+        alive = np.searchsorted(-lengths, -np.arange(longest + 1), "right")  # parts with a place at this distance
+        off = np.concatenate([[0], np.cumsum(alive)])
+        many, total = int(off[1]), int(off[-1])
+        char, previous = np.zeros(total, np.int64), np.zeros(total, np.int32)
+        for p in range(1, longest + 1):
+            char[off[p] : off[p + 1]] = text[firsts[: alive[p]] + (p - 1)]
+            previous[off[p] : off[p + 1]] = np.arange(off[p - 1], off[p - 1] + alive[p])
+        at = end = np.arange(many, total, dtype=np.int32)
+        node = np.zeros(len(end), np.int64)
+        found = []  # ends, starts, nodes and scores of the pieces of each length
+        while len(end):
+            node = self.steps.get_indexer(node << 21 | char[at]) + 1
+            on = np.flatnonzero(node)
+            end, at, node = end[on], previous[at[on]], node[on]
+            piece = np.flatnonzero(self.node_ids[node] >= 0)
+            found.append((end[piece], at[piece], node[piece], self.node_scores[node[piece]]))
+            on = np.flatnonzero(at >= many)
+            end, at, node = end[on], at[on], node[on]
+        bare = np.arange(total) >= many  # no piece for this character
+        bare[found[0][0]] = False
+        bare = np.flatnonzero(bare)
+        found.insert(0, (bare, previous[bare], -1 - char[bare], self.byte_score * n_bytes(char[bare])))
+        begin = np.zeros(total + 1, np.int64)
+        for ends, *_ in found:
+            begin[ends + 1] += 1
+        begin = np.cumsum(begin)
+        start, node, score = np.zeros(begin[-1], np.int32), np.zeros(begin[-1], np.int32), np.zeros(begin[-1])
+        free = begin[:-1].copy()
+        while found:
+            ends, *columns = found.pop()
+            start[free[ends]], node[free[ends]], score[free[ends]] = columns
+            free[ends] += 1
+        best = np.zeros(total)
+        for p in range(1, longest + 1):
+            a, b = begin[off[p]], begin[off[p + 1]]
+            best[off[p] : off[p + 1]] = np.maximum.reduceat(best[start[a:b]] + score[a:b], begin[off[p] : off[p + 1]] - a)
+        return off[lengths] + np.arange(many), best, begin, start, node, score
+
+    def _abreast(self, parts: pa.Array) -> Solved:
+        """``paths`` of many parts, the longest part first: a round takes one step in the search of each part."""
+        many, n = len(parts), self.n_best
+        last, best, begin, start, node, score = self._lattices(parts)
+        # a state: its place, the score behind it, the piece that begins there (-1: it is the end) and the state behind that
+        place, behind, piece, tail = (np.full(12 * many, x, kind) for x, kind in ((0, np.int32), (0.0, float), (-1, np.int32), (-1, np.int32)))
+        place[:many], states = last, many
+        who, wanted = np.arange(many), np.full(many, n)
+        opened, totals = np.zeros((n, many), np.int32), np.full((n, many), -np.inf)  # best first, at a tie the older
+        opened[0], totals[0] = who, best[last]
+        found = np.full((n, many), -1, np.int32)
+        while len(who):
+            state = opened[0]
+            opened, totals = np.concatenate([opened[1:], opened[:1]]), np.concatenate([totals[1:], np.full((1, len(who)), -np.inf)])
+            done = np.flatnonzero(place[state] < many)
+            found[n - wanted[done], who[done]] = state[done]
+            wanted[done] -= 1
+            at = np.flatnonzero(place[state] >= many)
+            state = state[at]
+            edge, stop, own = begin[place[state]], begin[place[state] + 1], behind[state]
+            while len(at):
+                new = own + score[edge]
+                total = new + best[start[edge]]
+                better = np.flatnonzero(total > totals[wanted[at] - 1, at])
+                added = slice(states, states + len(better))
+                if added.stop > len(place):
+                    room = max(added.stop - len(place), len(place) // 4)
+                    place, behind, piece, tail = (np.concatenate([x, np.zeros(room, x.dtype)]) for x in (place, behind, piece, tail))
+                place[added], behind[added], piece[added], tail[added] = start[edge[better]], new[better], edge[better], state[better]
+                number, total, into = np.arange(states, added.stop, dtype=np.int32), total[better], at[better]
+                states = added.stop
+                for k in range(n - 1, -1, -1):  # each place takes the new state, or that of the place before it, or keeps its own
+                    after = total > totals[k, into]
+                    before = total > totals[k - 1, into] if k else np.zeros(len(into), bool)
+                    opened[k, into] = np.where(before, opened[k - 1, into], np.where(after, number, opened[k, into]))
+                    totals[k, into] = np.where(before, totals[k - 1, into], np.where(after, total, totals[k, into]))
+                edge = edge + 1
+                on = np.flatnonzero(edge < stop)
+                at, edge, stop, own, state = at[on], edge[on], stop[on], own[on], state[on]
+            for k in range(1, n):
+                totals[k, wanted <= k] = -np.inf
+            on = np.flatnonzero((wanted > 0) & (totals[0] > -np.inf))
+            if len(on) < len(who):
+                who, wanted, opened, totals = who[on], wanted[on], opened[:, on], totals[:, on]
+        # from the start of a path on: its pieces
+        scores = np.where(found < 0, -np.inf, behind[found])
+        whose, step, state = np.flatnonzero(found.ravel() >= 0), 0, found.ravel()
+        state, size, steps = state[whose], np.zeros(n * many, np.int32), []
+        while len(whose):
+            size[whose] += 1
+            steps.append((whose, node[piece[state]]))
+            state = tail[state]
+            on = np.flatnonzero(piece[state] >= 0)
+            whose, state = whose[on], state[on]
+        ends = np.cumsum(size, dtype=np.int64)
+        nodes = np.zeros(ends[-1], np.int32)
+        for step, (whose, own) in enumerate(steps):
+            nodes[ends[whose] - size[whose] + step] = own
+        ids = self.node_ids[np.maximum(nodes, 0)]
+        raw = np.flatnonzero(nodes < 0)
+        if len(raw):  # several ids for a character without a piece
+            chars, which = np.unique(-1 - nodes[raw], return_inverse=True)
+            listed = [[self.byte_ids[b] for b in chr(x).encode()] for x in chars.tolist()]
+            width = np.ones(len(nodes), np.int64)
+            width[raw] = np.array(list(map(len, listed)))[which]
+            table = np.array(list(itertools.chain.from_iterable(listed)), np.int32)
+            firsts = np.cumsum(list(map(len, listed))) - list(map(len, listed))
+            wider = np.cumsum(width) - width
+            ids = np.repeat(ids, width)
+            ids[runs(wider[raw], width[raw])] = table[runs(firsts[which], width[raw])]
+            size = np.add.reduceat(np.append(width, 0), ends - size) * (size > 0)
+            ends = np.cumsum(size)
+            size = size.astype(np.int32)
+        return Solved(parts, ids, (ends - size).reshape(n, many), size.reshape(n, many), scores)
+
+    def _kept(self, parts: pa.Array) -> tuple[Solved, np.ndarray]:
+        """A table that holds ``parts``, and their places in it. The short ones stay for the next call, as far as there is room."""
+        at = pc.index_in(parts, value_set=self.known.parts)
+        new = np.flatnonzero(pc.is_null(at).to_numpy(zero_copy_only=False))
+        at = pc.fill_null(at, -1).to_numpy().astype(np.int64)
+        if len(self.known.parts) + len(new) > TABLE:
+            self.known = self.known.take(at[at >= 0])
+            at[at >= 0] = np.arange(len(self.known.parts))
+        at[new] = len(self.known.parts) + np.arange(len(new))
+        table = Solved.joined(self.n_best, self.known, self.solved(parts.take(pa.array(new))))
+        short = lengths_of(table.parts) <= LONGEST_KEPT
+        self.known = table if short.all() else table.take(np.flatnonzero(short))
+        return table, at
+
+    def encode_many(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[float], list[list[tuple[int, int, list[int]]]]]]:
+        """``encode_array`` of many texts, one after the other; their parts are solved together."""
+        full = [" " + x for x in texts if x]
+        if full:
+            chars = np.frombuffer(wide("".join(full)), np.uint32)
+            starts = np.cumsum([0, *map(len, full)])
+            cuts = self._cuts(chars, starts)
+            coded = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts * 4), pa.py_buffer(chars)]).dictionary_encode()
+            table, at = self._kept(coded.dictionary)
+            code = coded.indices.to_numpy()
+            first_part = np.searchsorted(cuts, starts)
+            size = table.size[0, at][code]
+            ids = table.ids[runs(table.first[0, at][code], size)]
+            ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+            scores = table.score[0, at][code].tolist()
+            sizes, losses = table.size[1:, at], table.score[:1, at] - table.score[1:, at]
+            least = self._least(np.where(sizes > 0, losses, -np.inf), code, first_part[:-1])
+        k = -1
+        for text in texts:
+            if not text:
+                yield np.zeros(0, np.int32), [], []
+                continue
+            k += 1
+            a, b = first_part[k : k + 2].tolist()
+            ways = self._ways([(x, losses[sizes[:, code[x]] > 0, code[x]].tolist()) for x in least[k]])
+            total, base = sum(scores[a:b]), ends[a]
+            yield ids[base : ends[b]], [total - x for x, _ in ways], [
+                [(int(ends[x] - base), int(size[x]), table.path(j + 1, at[code[x]])) for x, j in sorted(way)] for _, way in ways[1:]]
+
+    def _least(self, losses: np.ndarray, code: np.ndarray, starts: np.ndarray) -> list[list[int]]:
+        """For each text the places of the n - 1 parts whose second path loses least: only they can differ among the n best.
+
+        ``losses``: for each part how much worse its further paths are (-inf: it has none). ``code``: the parts of all
+        texts, which begin at ``starts``. Parts of equal losses come by place.
+        """
+        found: list[list[int]] = [[] for _ in starts]
+        if not len(losses):
+            return found
+        order = np.lexsort(losses[::-1])
+        rank = np.zeros(len(order), np.int64)
+        rank[order[1:]] = np.cumsum((losses[:, order[1:]] != losses[:, order[:-1]]).any(axis=0))
+        rank[losses[0] == -np.inf] = NO_RANK
+        key = rank[code] << 32 | np.arange(len(code))
+        for _ in losses:
+            first = np.minimum.reduceat(key, starts)
+            for k, x in enumerate(first.tolist()):
+                if x < NO_RANK << 32:
+                    found[k].append(x & 0xFFFFFFFF)
+            key[first & 0xFFFFFFFF] |= NO_RANK << 32
+        return found
+
+    def _cuts(self, chars: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Where the parts of texts begin that stand one behind the other, and the end: as ``split`` cuts each of them."""
+        if self.kinds is None:
+            return starts
+        kind = self.kinds[chars]
+        a, b = kind[:-1], kind[1:]
+        cut = (a == 3) | (b == 3) | ((b == 2) & (a != 2)) | ((a < 2) & (b < 2) & (a != b))
+        cut[starts[1:-1] - 1] = True
+        return np.concatenate([[0], np.flatnonzero(cut) + 1, [len(chars)]])
+
+    def _ways(self, losses: list[tuple[int, list[float]]]) -> list[tuple[float, tuple[tuple[int, int], ...]]]:
+        """The n best combinations of the paths of some parts: what is lost, and the parts with a further path and which.
+
+        ``losses``: for each part its place and how much worse its further paths are.
+        """
+        ways: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
+        for k, part in losses:
+            ways = heapq.nsmallest(
+                self.n_best, ((a + b, way if j is None else (*way, (k, j))) for a, way in ways for j, b in ((None, 0.0), *enumerate(part))), key=itemgetter(0))
+        return ways
 
     def _solve(self, part: str, lattice: tuple[list, list[float]] | None = None) -> tuple[tuple[int, ...], float, tuple[float, ...], tuple[tuple[int, ...], ...], bytes]:
         """Best ids, their score, how much worse the next paths are, their ids, and the best ids as 32-bit numbers."""
@@ -228,13 +527,13 @@ class Pieces:
         total = sum(map(itemgetter(1), solved))
         losses = list(map(itemgetter(2), solved))
         # only the n - 1 parts whose second path loses least can differ among the n best
-        ways: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
+        least: list[tuple[int, tuple[float, ...]]] = []
         after: dict[tuple[float, ...], int] = {}
         for part in heapq.nsmallest(self.n_best - 1, filter(None, losses)):
             k = losses.index(part, after.get(part, 0))
             after[part] = k + 1
-            ways = heapq.nsmallest(
-                self.n_best, ((a + b, way if j is None else (*way, (k, j))) for a, way in ways for j, b in ((None, 0.0), *enumerate(part))), key=itemgetter(0))
+            least.append((k, part))
+        ways = self._ways(least)
         place = {k: sum(map(len, map(itemgetter(0), solved[:k]))) for k in {k for _, way in ways for k, _ in way}}
         further = [[(place[k], len(solved[k][0]), solved[k][3][j]) for k, j in sorted(way)] for _, way in ways[1:]]
         return ids, [total - x for x, _ in ways], further
@@ -294,20 +593,16 @@ def decode(ids: Column, path: str = MODEL) -> Column:
     return of(ids)
 
 
-def _solved(batches: Iterator[pa.RecordBatch], pieces: Pieces) -> Iterator[tuple[pa.RecordBatch, list[str | None], list[list[str]]]]:
-    """Small batches with their texts and the parts of these, which are solved by then (the long ones when they are used)."""
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose parts are solved together."""
     for batch in batches:
-        lengths = np.cumsum([len(x or "") for x in batch["text"].to_pylist()])
+        lengths = np.cumsum(pc.fill_null(pc.utf8_length(batch["text"]), 0).to_numpy(), dtype=np.int64)
         at = 0
         while at < len(batch):
             chars = CHARS_SOLVED + (lengths[at - 1] if at else 0)
-            some = batch.slice(at, min(ROWS_SOLVED, max(1, int(np.searchsorted(lengths, chars)) - at)))
-            texts = some["text"].to_pylist()
-            cut = [pieces.cut(x) for x in texts]
-            pieces.solve_all(set().union(*cut))
-            for k in range(0, len(some), ROWS_AT_ONCE):
-                yield some.slice(k, ROWS_AT_ONCE), texts[k : k + ROWS_AT_ONCE], cut[k : k + ROWS_AT_ONCE]
-            at += len(some)
+            some = min(ROWS_SOLVED, max(1, int(np.searchsorted(lengths, chars)) - at))
+            yield batch.slice(at, some)
+            at += some
 
 
 def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFrame:
@@ -319,28 +614,25 @@ def encoded(docs: DataFrame, path: str = MODEL, n_best: int = N_BEST) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path, n_best)
-        collects = gc.isenabled()
-        gc.disable()  # solved parts are many small tuples without cycles
         try:
-            for part, texts, cut in _solved(batches, pieces):
-                ids, scores, exact, further = [], [], [], []
-                for text, of_text in zip(texts, cut, strict=True):
-                    found, best, others = pieces.encode_array(text, of_text)
-                    ids.append(found)
-                    scores.append(best)
-                    found = found.tolist()
-                    exact.append(pieces.decode(found) == (text or "") and all(pieces.same_text(found, x) for x in others))
-                    further.append([[{"at": at, "gone": gone, "ids": new} for at, gone, new in x] for x in others])
-                lengths = np.array(list(map(len, ids)), np.int64)
-                ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-                yield pa.record_batch({
-                    "doc_id": part["doc_id"], "ids": pa.ListArray.from_arrays(ends, np.concatenate(ids)), "n_pieces": lengths,
-                    "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact, "further": pa.array(further, FURTHER)})
+            for some in _small(batches):
+                texts = some["text"].to_pylist()
+                found = pieces.encode_many(texts)
+                for k in range(0, len(some), ROWS_AT_ONCE):
+                    ids, scores, exact, further = [], [], [], []
+                    for text, (own, best, others) in zip(texts[k : k + ROWS_AT_ONCE], found, strict=False):
+                        ids.append(own)
+                        scores.append(best)
+                        own = own.tolist()
+                        exact.append(pieces.decode(own) == (text or "") and all(pieces.same_text(own, x) for x in others))
+                        further.append([[{"at": at, "gone": gone, "ids": new} for at, gone, new in x] for x in others])
+                    lengths = np.array(list(map(len, ids)), np.int64)
+                    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+                    yield pa.record_batch({
+                        "doc_id": some["doc_id"].slice(k, ROWS_AT_ONCE), "ids": pa.ListArray.from_arrays(ends, np.concatenate(ids)), "n_pieces": lengths,
+                        "scores": pa.array(scores, pa.list_(pa.float64())), "exact": exact, "further": pa.array(further, FURTHER)})
         finally:  # solved parts stay for one task only: a reused worker does not carry them into later stages
-            pieces.parts.clear()
-            pieces.parts.old = {}
-            if collects:
-                gc.enable()
+            pieces.forget()
             release_memory()
 
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -1,3 +1,6 @@
+import itertools
+import random
+
 import pytest
 
 from codecorpus.llm import queries, sentencepieces
@@ -53,3 +56,34 @@ def test_small_runs_of_rows_give_the_same(spark, odd_docs, monkeypatch):
     monkeypatch.setattr(sentencepieces, "CHARS_SOLVED", 50)
     monkeypatch.setattr(sentencepieces, "ROWS_SOLVED", 3)
     assert sorted(map(str, sentencepieces.encoded(odd_docs).collect())) == want and len(want) == odd_docs.count()
+
+
+def odd_texts(n):
+    draw = random.Random(n)
+    alphabets = ["ab ", "abcdeéÉßø×÷ɏɐ ▁  \n\t.,漢字🎉\u0001\x00012ﬁ", "etaoin shrdlu "]
+    texts = ["".join(draw.choice(a) for _ in range(draw.randint(0, 90))) for a in alphabets for _ in range(60)]
+    return [*texts, None, "", " ", "\n", "▁", "a", "漢字" * 60 + " " * 50 + "z" * 90, "the hello " * 40]
+
+
+def listed(found):
+    return [(list(ids), scores, [[(at, gone, tuple(new)) for at, gone, new in x] for x in further]) for ids, scores, further in found]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5])
+def test_texts_encoded_together_equal_texts_encoded_alone(n, monkeypatch):
+    """Ids, scores to the last bit and differences; only a part too long to be kept is searched in a loop of its own."""
+    texts = odd_texts(n)
+    alone, together = sentencepieces.Pieces(n_best=n), sentencepieces.Pieces(n_best=n)
+    want, paths, looped = listed(map(alone.encode_all, texts)), together.paths, []
+    monkeypatch.setattr(sentencepieces, "CHARS_ABREAST", 100)
+    together.paths = lambda part, *rest, **more: looped.append(part) or paths(part, *rest, **more)
+    assert listed(together.encode_many(texts)) == want
+    assert listed(together.encode_many(texts[::-1])) == want[::-1]
+    assert looped and all(len(x) > sentencepieces.LONGEST_KEPT for x in looped)
+
+
+def test_cuts_of_texts_side_by_side_equal_the_splitter():
+    pieces, texts = sentencepieces.Pieces(), [" " + x for x in odd_texts(7) if x]
+    chars = sentencepieces.np.frombuffer(sentencepieces.wide("".join(texts)), "uint32")
+    cuts = pieces._cuts(chars, sentencepieces.np.cumsum([0, *map(len, texts)])).tolist()
+    assert ["".join(texts)[a:b] for a, b in itertools.pairwise(cuts)] == [x for t in texts for x in pieces.split(t)]
