@@ -87,3 +87,18 @@ def test_cuts_of_texts_side_by_side_equal_the_splitter():
     chars = sentencepieces.np.frombuffer(sentencepieces.wide("".join(texts)), "uint32")
     cuts = pieces._cuts(chars, sentencepieces.np.cumsum([0, *map(len, texts)])).tolist()
     assert ["".join(texts)[a:b] for a, b in itertools.pairwise(cuts)] == [x for t in texts for x in pieces.split(t)]
+
+
+def test_kept_parts_take_bounded_room(monkeypatch):
+    """A worker keeps at most ``TABLE`` short parts, as arrays, and the same results come with fewer."""
+    monkeypatch.setattr(sentencepieces, "TABLE", 300)
+    texts, few, alone = odd_texts(3), sentencepieces.Pieces(), sentencepieces.Pieces()
+    for at in range(0, len(texts), 20):
+        some = texts[at : at + 20]
+        assert listed(few.encode_many(some)) == listed(map(alone.encode_all, some))
+        own = {x for t in some for x in few.cut(t)}
+        assert len(few.known.parts) <= max(300, len(own)) and not few.parts
+    kept = few.known
+    assert sum(x.nbytes for x in kept) < 300 * len(kept.parts)
+    few.forget()
+    assert not len(few.known.parts)
